@@ -16,10 +16,10 @@ MAX_ABS_MS = 8.64e15
 _NUMERIC = "^(BIGINT|INT|SMALLINT|TINYINT|DOUBLE|FLOAT|DECIMAL)"
 
 # Date text is UTC unless it names a zone, whatever the session time zone is.
-_YEAR = r"^[0-9]{4}$"
-_MONTH = r"^[0-9]{4}-[0-9]{2}$"
-_DAY = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
-_ISO = r"^([0-9]{4}-[0-9]{2}-[0-9]{2})[T ]([0-9]{2}:[0-9]{2})(:[0-9]{2}(?:\.[0-9]+)?)?(Z|[+-][0-9]{2}:?[0-9]{2})?$"
+_ZONE = r"(Z|[+-][0-9]{2}:?[0-9]{2})?$"
+_DAY = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"
+_SECONDS = _DAY + r"[T ][0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]+)?" + _ZONE
+_MINUTES = _DAY + r"[T ][0-9]{2}:[0-9]{2}" + _ZONE
 
 # Other date texts accepted, as (shape, text to remove, pattern).
 OTHER_FORMATS = [
@@ -35,53 +35,80 @@ OTHER_FORMATS = [
 ]
 
 
+def _in_utc(text: Column) -> Column:
+    zoned = text.rlike("(Z|[+-][0-9]{2}:?[0-9]{2})$")
+    return F.when(zoned, text).otherwise(F.concat(text, F.lit("Z"))).try_cast("timestamp")
+
+
 def parse_text(text: Column) -> Column:
-    """Date text to TIMESTAMP, NULL if it is not one of the accepted shapes."""
-    seconds = F.regexp_extract(text, _ISO, 3)
-    zone = F.regexp_extract(text, _ISO, 4)
-    iso = F.concat(
-        F.regexp_extract(text, _ISO, 1),
-        F.lit("T"),
-        F.regexp_extract(text, _ISO, 2),
-        F.when(seconds == "", ":00").otherwise(seconds),
-        F.when(zone == "", "Z").otherwise(zone),
+    """Date text to TIMESTAMP, NULL if it is not one of the accepted shapes.
+
+    The shape is tested before anything is parsed: a cast alone would take a bare ``12:30`` for
+    a time of today, and the shapes that are left are rare enough to cost little.
+    """
+    return (
+        F.when(text.rlike(_SECONDS), _in_utc(text))
+        .when(text.rlike("^[0-9]{4}"), _short_iso(text))
+        .otherwise(_other(text))
     )
+
+
+def _short_iso(text: Column) -> Column:
     midnight = F.lit("T00:00:00Z")
     parsed = (
-        F.when(text.rlike(_ISO), iso.try_cast("timestamp"))
-        .when(text.rlike(_DAY), F.concat(text, midnight).try_cast("timestamp"))
-        .when(text.rlike(_MONTH), F.concat(text, F.lit("-01"), midnight).try_cast("timestamp"))
-        .when(text.rlike(_YEAR), F.concat(text, F.lit("-01-01"), midnight).try_cast("timestamp"))
+        F.when(text.rlike(_MINUTES), _in_utc(F.regexp_replace(text, "([T ].{5})", "$1:00")))
+        .when(text.rlike(_DAY + "$"), F.concat(text, midnight).try_cast("timestamp"))
+        .when(text.rlike("^.{4}-[0-9]{2}$"), F.concat(text, F.lit("-01"), midnight).try_cast("timestamp"))
+        .when(text.rlike("^.{4}$"), F.concat(text, F.lit("-01-01"), midnight).try_cast("timestamp"))
     )
-    for shape, strip, pattern in OTHER_FORMATS:
+    return _by_pattern(parsed, text, OTHER_FORMATS[:1])
+
+
+def _other(text: Column) -> Column:
+    return _by_pattern(F, text, OTHER_FORMATS[1:])
+
+
+def _by_pattern(cases, text: Column, formats: list[tuple[str, str, str]]) -> Column:
+    for shape, strip, pattern in formats:
         body = F.regexp_replace(text, strip, "") if strip else text
-        parsed = parsed.when(
-            text.rlike(shape), F.try_to_timestamp(F.concat(body, F.lit(" Z")), F.lit(pattern))
-        )
-    return parsed
+        zoned = F.concat(body, F.lit(" Z"))
+        cases = cases.when(text.rlike(shape), F.try_to_timestamp(zoned, F.lit(pattern)))
+    return cases
+
 
+def number_ms(value: Column) -> Column:
+    """Milliseconds a number stands for; NULL unless the variant is a number.
 
-def _number_ms(value: Column) -> Column:
+    The type is tested, not cast: a cast would read ``true`` as 1 and take digits in quotes.
+    """
     number = F.try_variant_get(value, "$", "double")
-    return F.when(number > F.lit(MS_THRESHOLD), number).otherwise(number * F.lit(1000.0))
+    ms = F.when(number > F.lit(MS_THRESHOLD), number).otherwise(number * F.lit(1000.0))
+    return F.when(F.schema_of_variant(value).rlike(_NUMERIC), ms)
+
 
+def date_text(value: Column) -> Column:
+    """The text of a text variant, else NULL."""
+    return F.when(F.schema_of_variant(value) == "STRING", as_text(value))
 
-def is_number(value: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(value).rlike(_NUMERIC), F.lit(False))
 
+def in_range(ms: Column) -> Column:
+    return F.abs(ms) <= F.lit(MAX_ABS_MS)
 
-def out_of_range(value: Column) -> Column:
+
+def out_of_range(ms: Column) -> Column:
     """A number no date can hold: the source refuses such an event, so we reject it."""
-    return is_number(value) & ~(F.abs(_number_ms(value)) <= F.lit(MAX_ABS_MS))
+    return F.coalesce(~in_range(ms), F.lit(False))
+
+
+def to_timestamp(ms: Column, text: Column) -> Column:
+    """Event time from ``number_ms`` or ``date_text``, cut to milliseconds; NULL if neither is one."""
+    from_number = F.when(in_range(ms), F.timestamp_millis(ms.cast("bigint")))
+    return F.coalesce(from_number, F.timestamp_millis(F.unix_millis(parse_text(text))))
 
 
 def parse_timestamp(value: Column) -> Column:
-    """Event time of a variant, cut to milliseconds; NULL when it has none."""
-    ms = _number_ms(value)
-    from_number = F.when(F.abs(ms) <= F.lit(MAX_ABS_MS), F.timestamp_millis(ms.cast("bigint")))
-    from_text = F.timestamp_millis(F.unix_millis(parse_text(as_text(value))))
-    kind = F.schema_of_variant(value)
-    return F.when(kind == "STRING", from_text).when(kind.rlike(_NUMERIC), from_number)
+    """Event time of a variant, NULL when it has none."""
+    return to_timestamp(number_ms(value), date_text(value))
 
 
 def iso_text(ts: Column) -> Column:

@@ -20,11 +20,20 @@ def as_long(value: Column) -> Column:
     return F.try_variant_get(value, "$", "bigint")
 
 
+def text_field(value: Column, name: str) -> Column:
+    """Scalar member as text; null and missing are NULL, the empty string stays."""
+    return F.try_variant_get(value, f"$.{name}", "string")
+
+
+def looks_nested(text: Column) -> Column:
+    """Could this text be that of an object or array?"""
+    return F.coalesce(text.startswith("{") | text.startswith("["), F.lit(False))
+
+
 def is_container(value: Column) -> Column:
-    """True for an object or array.  The type is looked up only if the text starts like one."""
-    looks = F.left(as_text(value), F.lit(1)).isin("{", "[")
+    """True for an object or array, false for anything else."""
     kind = F.schema_of_variant(value)
-    return F.when(looks, kind.startswith("OBJECT") | kind.startswith("ARRAY")).otherwise(False)
+    return F.coalesce(kind.startswith("OBJECT") | kind.startswith("ARRAY"), F.lit(False))
 
 
 def is_truthy(value: Column) -> Column:
@@ -34,7 +43,7 @@ def is_truthy(value: Column) -> Column:
         F.when(value.isNull() | (kind == "VOID"), False)
         .when(kind == "STRING", as_text(value) != "")
         .when(kind == "BOOLEAN", F.try_variant_get(value, "$", "boolean"))
-        .when(kind.startswith("OBJECT") | kind.startswith("ARRAY"), True)
+        .when(is_container(value), True)
         .otherwise(F.coalesce(F.try_variant_get(value, "$", "double") != 0, F.lit(True)))
     )
 

@@ -6,8 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventmill import schemas
-from eventmill.functions.timestamps import out_of_range, parse_timestamp, utc_date
-from eventmill.functions.variants import as_text, field, is_container, truthy_or_null
+from eventmill.functions.timestamps import date_text, number_ms, out_of_range, to_timestamp, utc_date
+from eventmill.functions.variants import (
+    field,
+    is_container,
+    looks_nested,
+    text_field,
+    truthy_or_null,
+)
 from eventmill.sources.envelope import PAGE_KEY
 
 # Column of the event table -> member of the raw event.
@@ -20,24 +26,37 @@ def normalize(events: DataFrame, ingest_ts: Column) -> DataFrame:
     ``ingest_ts`` is the load stamp and stands in for a missing or unreadable event time.
     """
     e = F.col("e")
-    members = {f"_{name}": field(e, member) for name, member in TEXT_FIELDS.items()}
-    members |= {"_ts": field(e, "timestamp"), "_props": field(e, "properties")}
-    split = events.withColumns(members)
-
-    containers = F.lit(False)
-    for name in TEXT_FIELDS:
-        containers = containers | F.coalesce(is_container(F.col(f"_{name}")), F.lit(False))
-    typed = split.select(
+    # Step by step, so that no step extracts a member twice.
+    split = events.select(
+        *PAGE_KEY,
+        "pos",
+        "e",
+        *[text_field(e, member).alias(name) for name, member in TEXT_FIELDS.items()],
+        field(e, "timestamp").alias("_ts"),
+        field(e, "properties").alias("_props"),
+    )
+    # Types are looked up only for the few rows with a text that could be a nested value.
+    suspicious, nested = F.lit(False), F.lit(False)
+    for name, member in TEXT_FIELDS.items():
+        suspicious = suspicious | looks_nested(F.col(name))
+        nested = nested | is_container(field(e, member))
+    read = split.select(
         *PAGE_KEY,
         "pos",
-        *[as_text(F.col(f"_{name}")).alias(name) for name in TEXT_FIELDS],
-        parse_timestamp(F.col("_ts")).alias("_event_ts"),
+        *TEXT_FIELDS,
+        number_ms(F.col("_ts")).alias("_ms"),
+        date_text(F.col("_ts")).alias("_date_text"),
         truthy_or_null(F.col("_props")).alias("properties"),
         e.alias("raw"),
-        F.when(as_text(F.col("_id")).isNull(), "no_id")
-        .when(containers, "bad_type")
-        .when(out_of_range(F.col("_ts")), "ts_range")
-        .alias("reason"),
+        F.when(suspicious, nested).otherwise(False).alias("_nested"),
+    )
+    typed = read.withColumns(
+        {
+            "_event_ts": to_timestamp(F.col("_ms"), F.col("_date_text")),
+            "reason": F.when(F.col("id").isNull(), "no_id")
+            .when(F.col("_nested"), "bad_type")
+            .when(out_of_range(F.col("_ms")), "ts_range"),
+        }
     )
     timestamp = F.coalesce("_event_ts", ingest_ts)
     return typed.select(

@@ -20,7 +20,7 @@ from eventmill.sinks.tables import (
     overwrite_stage,
     save_checkpoint,
 )
-from eventmill.sources.envelope import bad_bodies, bad_pages, decode, flatten, headers
+from eventmill.sources.envelope import bad_bodies, bad_lines, decode, flatten, headers
 
 
 @dataclass(frozen=True)
@@ -41,6 +41,15 @@ def typed_events(pages: DataFrame, ingest_ts: datetime | Column | None = None) -
     return normalize(flatten(decode(pages)), as_column(ingest_ts))
 
 
+def stage_pages(spark: SparkSession, pages: DataFrame, tables: Tables) -> DataFrame:
+    """Parses landed pages once, into the staging folder, and reads them back decoded.
+
+    The folder is partitioned by source, so each source is loaded without reading the other,
+    and its header columns are read without the events.
+    """
+    return overwrite_stage(decode(pages), f"{tables.stage}/pages", partition_by="source")
+
+
 def load_pages(
     spark: SparkSession,
     pages: DataFrame,
@@ -49,36 +58,47 @@ def load_pages(
     apply_stop_rules: bool = False,
     narrow_by_id: bool = False,
 ) -> LoadResult:
-    """Loads landed pages once each id; rejects go to their table.
-
-    The pages are parsed once, into the staging folder.  Page control reads the small header
-    columns from there, the load reads the events, and the reject pass runs only when the load
-    has seen a reject.
-    """
+    """Loads landed pages, each id once; what cannot be loaded goes to the reject table."""
     stamp = as_column(ingest_ts)
     torn = Observation()
     bad = F.col(CORRUPT).isNotNull() if CORRUPT in pages.columns else F.lit(False)
-    observed = pages.observe(torn, F.count_if(bad).alias("n"))
-    staged = overwrite_stage(decode(observed), f"{tables.stage}/pages")
+    staged = stage_pages(spark, pages.observe(torn, F.count_if(bad).alias("n")), tables)
+    loaded = load_staged(spark, staged, tables, stamp, apply_stop_rules, narrow_by_id)
+    if torn.get.get("n", 0):
+        lines = append_rejects(spark, bad_lines(pages), tables, stamp)
+        loaded = LoadResult(loaded.inserted, loaded.rejected + lines)
+    return loaded
+
+
+def load_staged(
+    spark: SparkSession,
+    staged: DataFrame,
+    tables: Tables,
+    stamp: Column,
+    apply_stop_rules: bool = False,
+    narrow_by_id: bool = False,
+) -> LoadResult:
+    """Loads decoded pages from the staging folder.
+
+    Rejects are counted on the way; the pass that records them runs only if there are any.  A
+    retried task may count a reject twice, which does no harm to a test against zero.
+    """
     used = staged
     if apply_stop_rules:
         used = keep_until(staged, stop_points(headers(staged)))
-
-    checked = Observation()
     rows = normalize(flatten(used), stamp)
+    checked = Observation()
     counted = rows.observe(checked, F.count_if(F.col("reason").isNotNull()).alias("n"))
     bounds = loadable(rows) if narrow_by_id else None
     inserted = insert_if_absent(spark, loadable(counted), tables, bounds)
 
-    rejects = rejected(rows).unionByName(bad_bodies(staged))
-    if torn.get["n"]:
-        rejects = rejected(rows).unionByName(bad_pages(pages, staged))
-    n_rejects = 0
-    if checked.get["n"] or torn.get["n"] or not staged.where("bad_body IS NOT NULL").isEmpty():
-        written = Observation()
-        append_rejects(spark, rejects.observe(written, F.count("*").alias("n")), tables, stamp)
-        n_rejects = int(written.get["n"])
-    return LoadResult(inserted, n_rejects)
+    n_rejected = 0
+    bodies = bad_bodies(staged)
+    if checked.get.get("n", 0):
+        n_rejected = append_rejects(spark, rejected(rows).unionByName(bodies), tables, stamp)
+    elif not bodies.isEmpty():
+        n_rejected = append_rejects(spark, bodies, tables, stamp)
+    return LoadResult(inserted, n_rejected)
 
 
 def count_events(spark: SparkSession, tables: Tables) -> int:
@@ -97,14 +117,16 @@ def run_batch(
 ) -> LoadResult:
     """The whole job: skip if the target is met, else load, save the final checkpoint; export.
 
-    The feed is loaded first and the events source only if the feed left the table short.
+    The pages are parsed once.  The feed is loaded first, and the events source only if the
+    feed leaves the table short.
     """
     loaded = LoadResult(0, 0)
     before = count_events(spark, tables)
     if before < target:
+        staged = stage_pages(spark, pages, tables)
         for source in ("feed", "events"):
-            part = load_pages(
-                spark, pages.where(F.col("source") == source), tables, ingest_ts, apply_stop_rules
+            part = load_staged(
+                spark, staged.where(F.col("source") == source), tables, as_column(ingest_ts), apply_stop_rules
             )
             loaded = LoadResult(loaded.inserted + part.inserted, loaded.rejected + part.rejected)
             if before + loaded.inserted >= target:

@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # The JVM does not compile methods beyond this size; splitting them keeps parsing fast.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

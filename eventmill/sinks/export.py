@@ -23,7 +23,7 @@ def export_ids(events: DataFrame, path: str, max_records_per_file: int = 0) -> i
         .option("maxRecordsPerFile", max_records_per_file)
         .text(path)
     )
-    return int(seen.get["n"])
+    return int(seen.get.get("n", 0))
 
 
 def copy_line(*values: Column) -> Column:

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from eventmill import schemas
 from eventmill.operators.dedup import absent_from, first_wins
@@ -68,14 +69,21 @@ def create_tables(
     return tables
 
 
-def overwrite_stage(df: DataFrame, path: str) -> DataFrame:
+def overwrite_stage(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
     """Replaces a staging folder and reads it back.
 
     Besides what staging is for, this cuts the lineage on shared storage: several outputs are
     derived without parsing the pages again, and a lost executor costs its tasks only.
     """
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    writer = df.write.mode("overwrite")
+    if partition_by is not None:
+        writer = writer.partitionBy(partition_by)
+    writer.parquet(path)
+    return read_stage(df.sparkSession, path, df.schema)
+
+
+def read_stage(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
 def new_rows(
@@ -106,21 +114,35 @@ def insert_if_absent(
     seen = Observation()
     fresh = new_rows(spark, events, tables, narrow_by).observe(seen, F.count("*").alias("n"))
     fresh.write.mode("append").insertInto(tables.events)
-    return int(seen.get["n"])
+    return int(seen.get.get("n", 0))
+
 
+def append_rejects(
+    spark: SparkSession, rejects: DataFrame, tables: Tables, ingest_ts: Column
+) -> int:
+    """Adds rejects that are not recorded yet, so a replay records none twice; returns how many.
 
-def append_rejects(spark: SparkSession, rejects: DataFrame, tables: Tables, ingest_ts) -> None:
-    """Adds rejects that are not recorded yet, so a replay does not record them twice."""
+    The raw text is part of the key: lines that could not be read have nothing else.
+    """
     spark.catalog.refreshTable(tables.rejects)
-    stamped = rejects.withColumn("ingested_at", ingest_ts)
     key = ["run_id", "source", "seq", "pos", "reason"]
+    digest = F.xxhash64("raw").alias("_raw")
+    known = spark.table(tables.rejects).select(*key, digest).alias("old")
     same = F.lit(True)
-    for c in key:
+    for c in [*key, "_raw"]:
         same = same & F.col(f"new.{c}").eqNullSafe(F.col(f"old.{c}"))
-    known = spark.table(tables.rejects).select(*key).alias("old")
-    stamped.alias("new").join(known, same, "left_anti").select(
-        *schemas.REJECT_COLUMNS
-    ).write.mode("append").insertInto(tables.rejects)
+    written = Observation()
+    (
+        rejects.withColumn("ingested_at", ingest_ts)
+        .withColumn("_raw", F.xxhash64("raw"))
+        .alias("new")
+        .join(known, same, "left_anti")
+        .select(*schemas.REJECT_COLUMNS)
+        .observe(written, F.count("*").alias("n"))
+        .write.mode("append")
+        .insertInto(tables.rejects)
+    )
+    return int(written.get.get("n", 0))
 
 
 def save_checkpoint(

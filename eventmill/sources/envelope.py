@@ -86,22 +86,28 @@ def headers(decoded: DataFrame) -> DataFrame:
 
 
 def flatten(decoded: DataFrame) -> DataFrame:
-    """Decoded pages to events; ``(seq, pos)`` is the arrival order within a run and source."""
-    return decoded.select(*PAGE_KEY, F.posexplode("data").alias("pos", "e"))
+    """Decoded pages to events; ``(seq, pos)`` is the arrival order within a run and source.
+
+    The outer form with a filter behind it gives the same rows as the inner one.  For the inner
+    form the planner adds a filter on the array's size, and parses each page again for it.
+    """
+    return decoded.select(*PAGE_KEY, F.posexplode_outer("data").alias("pos", "e")).where(
+        F.col("pos").isNotNull()
+    )
 
 
-def bad_pages(pages: DataFrame, decoded: DataFrame) -> DataFrame:
-    """Rejects at page level: lines the log reader could not read, bodies that are no page."""
-    torn = pages.where(F.col(schemas.CORRUPT).isNotNull()).select(
+def bad_lines(pages: DataFrame) -> DataFrame:
+    """Rejects among the log's lines: those the reader could not read."""
+    return pages.where(F.col(schemas.CORRUPT).isNotNull()).select(
         *PAGE_KEY,
         F.lit(None).cast("int").alias("pos"),
         F.lit("bad_line").alias("reason"),
         F.col(schemas.CORRUPT).alias("raw"),
     )
-    return torn.unionByName(bad_bodies(decoded))
 
 
 def bad_bodies(decoded: DataFrame) -> DataFrame:
+    """Rejects among the pages: bodies that could not be decoded."""
     return decoded.where(F.col("bad_body").isNotNull()).select(
         *PAGE_KEY,
         F.lit(None).cast("int").alias("pos"),

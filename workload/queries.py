@@ -38,7 +38,10 @@ def winners(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def control(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return envelope.headers(envelope.decode(landed(spark, sf_dir, "control")))
+    """Page headers of the control log, staged as a load does, so bodies are parsed once."""
+    decoded = envelope.decode(landed(spark, sf_dir, "control"))
+    staged = sinks.overwrite_stage(decoded, scratch_dir(spark, "pages"), partition_by="source")
+    return envelope.headers(staged)
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
