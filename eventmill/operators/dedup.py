@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-ARRIVAL = ["seq", "pos"]
+# Arrival order: runs in the order of their ids, pages within a run, events within a page.
+# Run ids must sort as the runs were started; the source only breaks ties.
+ARRIVAL = ["run_id", "seq", "pos", "source"]
 
 
 def first_wins(events: DataFrame, order: list[str | Column] = ARRIVAL) -> DataFrame:
@@ -42,12 +44,15 @@ def backfill(feed: DataFrame, fallback: DataFrame, target_count: int) -> DataFra
         F.col("timestamp") >= F.coalesce(since, F.timestamp_millis(F.lit(-62_135_596_800_000)))
     )
     ranked = feed.withColumn("_rank", F.lit(0)).unionByName(late.withColumn("_rank", F.lit(1)))
-    return first_wins(ranked, ["_rank", "run_id", *ARRIVAL]).drop("_rank")
+    return first_wins(ranked, ["_rank", *ARRIVAL]).drop("_rank")
 
 
-def union_attempts(events: DataFrame) -> DataFrame:
-    """Several attempts over overlapping ranges as one: earlier attempts win.
+def union_attempts(attempts: list[DataFrame]) -> DataFrame:
+    """Several attempts over overlapping ranges as one table: earlier attempts win.
 
-    Attempts are ordered by ``run_id``, then by arrival within the run.
+    However often an attempt is repeated, the result is that of the first.
     """
-    return first_wins(events, ["run_id", *ARRIVAL])
+    rows = attempts[0].withColumn("_attempt", F.lit(0))
+    for i, attempt in enumerate(attempts[1:], start=1):
+        rows = rows.unionByName(attempt.withColumn("_attempt", F.lit(i)))
+    return first_wins(rows, ["_attempt", *ARRIVAL]).drop("_attempt")

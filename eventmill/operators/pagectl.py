@@ -80,7 +80,8 @@ def keep_until(pages: DataFrame, stops: DataFrame) -> DataFrame:
     """Pages not beyond their run's stop.
 
     ``stops`` has one row per run and source.  Whether it is small enough to broadcast is left
-    to the planner; if it is not, adaptive execution splits the runs that dominate.
+    to the planner, which knows once ``stops`` is read from files; if it is not, adaptive
+    execution splits the runs that dominate.
     """
     limits = stops.select(*RUN, "stop_seq")
     return (

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -30,10 +30,10 @@ class LoadResult:
 
 
 def as_column(ingest_ts: datetime | Column | None) -> Column:
-    """The load stamp: constant within a load."""
-    if ingest_ts is None:
-        return F.current_timestamp()
-    return ingest_ts if isinstance(ingest_ts, Column) else F.lit(ingest_ts)
+    """The load stamp: read once, so that it is the same in every job of a load."""
+    if isinstance(ingest_ts, Column):
+        return ingest_ts
+    return F.lit(ingest_ts or datetime.now(timezone.utc))
 
 
 def typed_events(pages: DataFrame, ingest_ts: datetime | Column | None = None) -> DataFrame:
@@ -41,13 +41,21 @@ def typed_events(pages: DataFrame, ingest_ts: datetime | Column | None = None) -
     return normalize(flatten(decode(pages)), as_column(ingest_ts))
 
 
-def stage_pages(spark: SparkSession, pages: DataFrame, tables: Tables) -> DataFrame:
+def stage_pages(
+    spark: SparkSession, pages: DataFrame, tables: Tables, stamp: Column
+) -> tuple[DataFrame, int]:
     """Parses landed pages once, into the staging folder, and reads them back decoded.
 
     The folder is partitioned by source, so each source is loaded without reading the other,
-    and its header columns are read without the events.
+    and its header columns are read without the events.  Log lines that could not be read go to
+    the reject table; the second result is their number.
     """
-    return overwrite_stage(decode(pages), f"{tables.stage}/pages", partition_by="source")
+    torn = Observation()
+    bad = F.col(CORRUPT).isNotNull() if CORRUPT in pages.columns else F.lit(False)
+    decoded = decode(pages.observe(torn, F.count_if(bad).alias("n")))
+    staged = overwrite_stage(decoded, f"{tables.stage}/pages", partition_by="source")
+    lines = append_rejects(spark, bad_lines(pages), tables, stamp) if torn.get.get("n", 0) else 0
+    return staged, lines
 
 
 def load_pages(
@@ -60,14 +68,9 @@ def load_pages(
 ) -> LoadResult:
     """Loads landed pages, each id once; what cannot be loaded goes to the reject table."""
     stamp = as_column(ingest_ts)
-    torn = Observation()
-    bad = F.col(CORRUPT).isNotNull() if CORRUPT in pages.columns else F.lit(False)
-    staged = stage_pages(spark, pages.observe(torn, F.count_if(bad).alias("n")), tables)
+    staged, lines = stage_pages(spark, pages, tables, stamp)
     loaded = load_staged(spark, staged, tables, stamp, apply_stop_rules, narrow_by_id)
-    if torn.get.get("n", 0):
-        lines = append_rejects(spark, bad_lines(pages), tables, stamp)
-        loaded = LoadResult(loaded.inserted, loaded.rejected + lines)
-    return loaded
+    return LoadResult(loaded.inserted, loaded.rejected + lines)
 
 
 def load_staged(
@@ -85,7 +88,10 @@ def load_staged(
     """
     used = staged
     if apply_stop_rules:
-        used = keep_until(staged, stop_points(headers(staged)))
+        # Written first: with its size known from the files, this small frame is broadcast by
+        # the planner from the start, and the page bodies stay where they are.
+        stops = overwrite_stage(stop_points(headers(staged)), f"{tables.stage}/stops")
+        used = keep_until(staged, stops)
     rows = normalize(flatten(used), stamp)
     checked = Observation()
     counted = rows.observe(checked, F.count_if(F.col("reason").isNotNull()).alias("n"))
@@ -121,13 +127,14 @@ def run_batch(
     feed leaves the table short.
     """
     loaded = LoadResult(0, 0)
+    stamp = as_column(ingest_ts)
     before = count_events(spark, tables)
     if before < target:
-        staged = stage_pages(spark, pages, tables)
+        staged, lines = stage_pages(spark, pages, tables, stamp)
+        loaded = LoadResult(0, lines)
         for source in ("feed", "events"):
-            part = load_staged(
-                spark, staged.where(F.col("source") == source), tables, as_column(ingest_ts), apply_stop_rules
-            )
+            one = staged.where(F.col("source") == source)
+            part = load_staged(spark, one, tables, stamp, apply_stop_rules)
             loaded = LoadResult(loaded.inserted + part.inserted, loaded.rejected + part.rejected)
             if before + loaded.inserted >= target:
                 break

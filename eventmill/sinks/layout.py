@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from eventmill.sinks.tables import Tables
 
+_AUTO_BUCKETED_SCAN = "spark.sql.sources.bucketing.autoBucketedScan.enabled"
+
 
 def write_by_time(events: DataFrame, path: str, partitions: int | None = None) -> None:
     """One folder per day, rows within a file in time order, for time-range scans.
@@ -42,14 +44,20 @@ def compact_events(spark: SparkSession, tables: Tables) -> str:
     buckets = int(detail.first()["data_type"])
     location = f"{tables.location}/ingested_events-{uuid.uuid4().hex[:12]}"
     shadow = f"{tables.database}.compacted_{uuid.uuid4().hex[:12]}"
-    (
-        spark.table(tables.events)
-        .repartition(buckets, "id")
-        .write.bucketBy(buckets, "id")
-        .sortBy("id")
-        .option("path", location)
-        .saveAsTable(shadow)
-    )
+    # One task reads one bucket and writes it back: no shuffle.  Left to itself the planner
+    # reads file by file, as it sees no join or aggregate that needs the buckets.
+    auto = spark.conf.get(_AUTO_BUCKETED_SCAN)
+    spark.conf.set(_AUTO_BUCKETED_SCAN, "false")
+    try:
+        (
+            spark.table(tables.events)
+            .write.bucketBy(buckets, "id")
+            .sortBy("id")
+            .option("path", location)
+            .saveAsTable(shadow)
+        )
+    finally:
+        spark.conf.set(_AUTO_BUCKETED_SCAN, auto)
     spark.sql(f"ALTER TABLE {tables.events} SET LOCATION '{location}'")
     # The shadow entry is external: dropping it leaves the files in place.
     spark.sql(f"DROP TABLE {shadow}")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from eventmill.plans.load import load_pages
+from eventmill.plans.load import as_column, load_staged, stage_pages
 from eventmill.session import configure
 from eventmill.sinks.tables import Tables, save_checkpoint
 from eventmill.sources.envelope import headers
@@ -31,8 +31,10 @@ def run_stream(
 
     def load(batch: DataFrame, batch_id: int) -> None:
         session = configure(batch.sparkSession)
-        load_pages(session, batch, tables, ingest_ts, narrow_by_id=narrow_by_id)
-        save_progress(session, tables, batch_id)
+        stamp = as_column(ingest_ts)
+        staged, _ = stage_pages(session, batch, tables, stamp)
+        load_staged(session, staged, tables, stamp, narrow_by_id=narrow_by_id)
+        save_progress(session, staged, tables, batch_id)
 
     return (
         pages.writeStream.foreachBatch(load)
@@ -42,16 +44,15 @@ def run_stream(
     )
 
 
-def save_progress(spark: SparkSession, tables: Tables, batch_id: int) -> None:
+def save_progress(spark: SparkSession, staged: DataFrame, tables: Tables, version: int) -> None:
     """Appends the resume cursor of the last page staged and the events saved so far."""
-    staged = spark.read.parquet(f"{tables.stage}/pages")
     spark.catalog.refreshTable(tables.events)
     saved = spark.table(tables.events).agg(F.count("*")).scalar()
     resume = F.when(F.col("source") == "feed", F.col("next_cursor")).otherwise(
         F.col("request_cursor")
     )
     state = headers(staged).agg(F.max_by(resume, F.struct("requested_at", "seq")).alias("cursor"))
-    save_checkpoint(spark, tables, state.withColumn("events_saved", saved), batch_id)
+    save_checkpoint(spark, tables, state.withColumn("events_saved", saved), version)
 
 
 def dedup_within(events: DataFrame, delay: str) -> DataFrame:

@@ -235,7 +235,7 @@ FROM req"""),
     "backfill_union": _with(_SRC, """
 SELECT id, type, true_ms AS ms, 'run-1' AS run_id, seq, CAST(pos AS INT) AS pos
 FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY rnk, seq, pos) AS rn FROM src) WHERE rn = 1"""),
-    "replay_attempts": _with(_WIN, f"SELECT {_SLIM} FROM win"),
+    "replay_attempts": _with(_LATE_FIRST, f"SELECT {_SLIM} FROM win"),
     "event_count": _with(_WIN, "SELECT count(*) AS count FROM win"),
     "max_event_ms": _with(_WIN, """
 SELECT max(ms) // 1000 * 1000 AS max_ts, 'floor' AS mode FROM win WHERE NOT ts_defaulted
