@@ -48,6 +48,20 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return envelope.with_rate_limit(envelope.classify(landed(spark, sf_dir, "requests")))
 
 
+_loaded: dict[tuple[str, str], str] = {}
+
+
+def loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event table loaded from the arrivals; once per session and table folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _loaded:
+        t = fresh_tables(spark)
+        load.load_pages(spark, landed(spark, sf_dir, "arrivals"), t, INGEST_TS)
+        _loaded[key] = t.events
+    configure(spark)
+    return spark.table(_loaded[key])
+
+
 def fresh_tables(spark: SparkSession) -> sinks.Tables:
     configure(spark)
     name = f"eventmill_{uuid.uuid4().hex[:12]}"
@@ -117,7 +131,7 @@ def unnest_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
 def time_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both bounds over the date-partitioned layout."""
     path = scratch_dir(spark, "by-time")
-    layout.write_by_time(winners(spark, sf_dir), path)
+    layout.write_by_time(loaded(spark, sf_dir), path)
     return slim(scans.time_range(spark.read.parquet(path), SINCE_MS, UNTIL_MS))
 
 
@@ -127,9 +141,7 @@ def session_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def target_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = fresh_tables(spark)
-    sinks.insert_if_absent(spark, typed(spark, sf_dir), t)
-    return slim(spark.table(t.events))
+    return slim(loaded(spark, sf_dir))
 
 
 def checkpoint_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,13 +171,13 @@ def project_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def iso_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     ts = F.col("timestamp")
-    return winners(spark, sf_dir).select(
+    return loaded(spark, sf_dir).select(
         "id", timestamps.iso_text(ts).alias("iso"), F.unix_seconds(ts).alias("epoch_s")
     )
 
 
 def mask_secret(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return winners(spark, sf_dir).select("id", text.mask_secret(F.col("session_id")).alias("masked"))
+    return loaded(spark, sf_dir).select("id", text.mask_secret(F.col("session_id")).alias("masked"))
 
 
 def decode_cursor(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -203,7 +215,7 @@ def backoff_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw events out as JSON text and back in."""
     again = F.try_parse_json(F.to_json("raw"))
-    return winners(spark, sf_dir).select(
+    return loaded(spark, sf_dir).select(
         "id",
         variants.as_text(variants.field(again, "sessionId")).alias("session_id"),
         variants.as_text(variants.field(again, "type")).alias("type"),
@@ -232,16 +244,16 @@ def page_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def target_reached(spark: SparkSession, sf_dir: str) -> DataFrame:
-    loaded = winners(spark, sf_dir)
-    counted = reports.target_reached(reports.event_count(loaded), COUNT_TARGET)
-    since = reports.max_event_ms(loaded).select(reports.since_bound(F.col("max_ts"))).scalar()
+    table = loaded(spark, sf_dir)
+    counted = reports.target_reached(reports.event_count(table), COUNT_TARGET)
+    since = reports.max_event_ms(table).select(reports.since_bound(F.col("max_ts"))).scalar()
     return counted.withColumn("since_ms", since)
 
 
 def key_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Before and after dedup."""
     before = reports.key_check(typed(spark, sf_dir)).withColumn("stage", F.lit("arrivals"))
-    after = reports.key_check(winners(spark, sf_dir)).withColumn("stage", F.lit("events"))
+    after = reports.key_check(loaded(spark, sf_dir)).withColumn("stage", F.lit("events"))
     return before.unionByName(after)
 
 
@@ -310,7 +322,7 @@ def page_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def backfill_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = typed(spark, sf_dir, "sources")
+    rows = sinks.overwrite_stage(typed(spark, sf_dir, "sources"), scratch_dir(spark, "sources"))
     feed = dedup.first_wins(rows.where(F.col("source") == "feed"))
     fallback = rows.where(F.col("source") == "events")
     return slim(dedup.backfill(feed, fallback, reports.TARGET))
@@ -327,11 +339,11 @@ def replay_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.event_count(winners(spark, sf_dir))
+    return reports.event_count(loaded(spark, sf_dir))
 
 
 def max_event_ms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = winners(spark, sf_dir).where(~F.col("ts_defaulted"))
+    rows = loaded(spark, sf_dir).where(~F.col("ts_defaulted"))
     floor = reports.max_event_ms(rows).withColumn("mode", F.lit("floor"))
     return floor.unionByName(reports.max_event_ms(rows, "round").withColumn("mode", F.lit("round")))
 
@@ -341,16 +353,16 @@ def page_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def progress_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.progress(reports.event_count(winners(spark, sf_dir)), START_MS, NOW_MS)
+    return reports.progress(reports.event_count(loaded(spark, sf_dir)), START_MS, NOW_MS)
 
 
 def session_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.session_rollup(winners(spark, sf_dir))
+    return reports.session_rollup(loaded(spark, sf_dir))
 
 
 def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = envelope.headers(envelope.decode(landed(spark, sf_dir, "arrivals")))
-    return reports.reconcile(pages, winners(spark, sf_dir))
+    return reports.reconcile(pages, loaded(spark, sf_dir))
 
 
 def page_check(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -417,7 +429,7 @@ def checkpoint_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def target_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
-    new = winners(spark, sf_dir).groupBy("run_id", "source", "seq").agg(F.count("*").alias("new_rows"))
+    new = loaded(spark, sf_dir).groupBy("run_id", "source", "seq").agg(F.count("*").alias("new_rows"))
     return pagectl.target_cut(new, COUNT_TARGET)
 
 
@@ -434,14 +446,14 @@ def pacing_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def export_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "ids")
-    export.export_ids(winners(spark, sf_dir), path)
+    export.export_ids(loaded(spark, sf_dir), path)
     return spark.read.text(path).withColumnRenamed("value", "id")
 
 
 def export_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """COPY export of the events written and read back; the JSON columns by their names."""
     path = scratch_dir(spark, "copy")
-    export.export_copy_text(winners(spark, sf_dir), path)
+    export.export_copy_text(loaded(spark, sf_dir), path)
     cells = F.split(F.col("value"), "\t")
     names = ["id", "session_id", "type", "user_id", "iso"]
     return spark.read.text(path).select(
@@ -453,14 +465,14 @@ def export_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def layout_by_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "by-time")
-    layout.write_by_time(winners(spark, sf_dir), path)
+    layout.write_by_time(loaded(spark, sf_dir), path)
     back = spark.read.parquet(path)
     return back.groupBy("event_date").agg(F.count("*").alias("events"), F.min("id").alias("first_id"))
 
 
 def layout_by_session(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "by-session")
-    layout.write_by_session(winners(spark, sf_dir), path)
+    layout.write_by_session(loaded(spark, sf_dir), path)
     return spark.read.parquet(path).groupBy("session_id").agg(F.count("*").alias("events"))
 
 
