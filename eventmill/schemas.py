@@ -28,6 +28,9 @@ REJECTS = (
     "ingested_at TIMESTAMP"
 )
 
+# Where the event table's files are: the row with the highest version names the folder.
+LAYOUTS = "folder STRING, version BIGINT"
+
 SESSION = (
     "id STRING, userId STRING, deviceType STRING, browser STRING, os STRING, country STRING, "
     "city STRING, startedAt STRING, endedAt STRING, duration DOUBLE, eventCount BIGINT"

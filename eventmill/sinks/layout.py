@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventmill.sinks.tables import Tables
+from eventmill.sinks.tables import Tables, current_layout
 
 _AUTO_BUCKETED_SCAN = "spark.sql.sources.bucketing.autoBucketedScan.enabled"
 
@@ -42,7 +42,8 @@ def compact_events(spark: SparkSession, tables: Tables) -> str:
     spark.catalog.refreshTable(tables.events)
     detail = spark.sql(f"DESCRIBE EXTENDED {tables.events}").where("col_name = 'Num Buckets'")
     buckets = int(detail.first()["data_type"])
-    location = f"{tables.location}/ingested_events-{uuid.uuid4().hex[:12]}"
+    folder = f"ingested_events-{uuid.uuid4().hex[:12]}"
+    location = f"{tables.location}/{folder}"
     shadow = f"{tables.database}.compacted_{uuid.uuid4().hex[:12]}"
     # One task reads one bucket and writes it back: no shuffle.  Left to itself the planner
     # reads file by file, as it sees no join or aggregate that needs the buckets.
@@ -58,6 +59,8 @@ def compact_events(spark: SparkSession, tables: Tables) -> str:
         )
     finally:
         spark.conf.set(_AUTO_BUCKETED_SCAN, auto)
+    version = current_layout(spark, tables)[1] + 1
+    spark.sql(f"INSERT INTO {tables.layouts} VALUES ('{folder}', {version})")
     spark.sql(f"ALTER TABLE {tables.events} SET LOCATION '{location}'")
     # The shadow entry is external: dropping it leaves the files in place.
     spark.sql(f"DROP TABLE {shadow}")

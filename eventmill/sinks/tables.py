@@ -36,6 +36,10 @@ class Tables:
     def rejects(self) -> str:
         return f"{self.database}.rejects"
 
+    @property
+    def layouts(self) -> str:
+        return f"{self.database}.layouts"
+
     @property
     def stage(self) -> str:
         return f"{self.location}/stage"
@@ -53,22 +57,34 @@ def create_tables(
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     tables = Tables(database, location.rstrip("/"))
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{tables.location}/db'")
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {tables.events} ({schemas.EVENTS}) USING parquet "
-        f"CLUSTERED BY (id) SORTED BY (id) INTO {buckets} BUCKETS "
-        f"LOCATION '{tables.location}/ingested_events'"
-    )
     for table, ddl, folder in (
         (tables.checkpoints, schemas.CHECKPOINTS, "ingestion_checkpoints"),
         (tables.rejects, schemas.REJECTS, "rejects"),
+        (tables.layouts, schemas.LAYOUTS, "layouts"),
     ):
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {table} ({ddl}) USING parquet "
             f"LOCATION '{tables.location}/{folder}'"
         )
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {tables.events} ({schemas.EVENTS}) USING parquet "
+        f"CLUSTERED BY (id) SORTED BY (id) INTO {buckets} BUCKETS "
+        f"LOCATION '{tables.location}/{current_layout(spark, tables)[0]}'"
+    )
     return tables
 
 
+def current_layout(spark: SparkSession, tables: Tables) -> tuple[str, int]:
+    """Folder and version of the event table's files.
+
+    Kept with the data, so that tables made anew in a catalog that forgets find the files of
+    the last compaction.
+    """
+    spark.catalog.refreshTable(tables.layouts)
+    last = spark.table(tables.layouts).agg(F.max_by("folder", "version"), F.max("version")).first()
+    return ("ingested_events", 0) if last[1] is None else (last[0], last[1])
+
+
 def overwrite_stage(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
     """Replaces a staging folder and reads it back.
 

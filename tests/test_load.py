@@ -94,6 +94,19 @@ def test_known_ids_are_found_without_moving_the_table(spark, tables):
     assert "ReadSchema: struct<id:string>" in plan
 
 
+def test_reports_read_only_their_columns(spark, tables):
+    from eventmill.operators import reports
+
+    load.load_pages(spark, pages(spark, [1, 2]), tables, STAMP)
+    events = spark.table(tables.events)
+    for df, read in (
+        (reports.event_count(events), "struct<>"),
+        (reports.max_event_ms(events), "struct<timestamp:timestamp>"),
+        (events.select("id").orderBy("id"), "struct<id:string>"),
+    ):
+        assert f"ReadSchema: {read}" in df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_rejects_once_and_the_rest_is_loaded(spark, tables):
     rows = [
         page(0, json.dumps({"data": [event(1), {"x": 1}, event(2, timestamp=1e300), event(3, userId={})]})),
@@ -187,6 +200,11 @@ def test_compaction(spark, tables):
     assert len(glob.glob(f"{location}/*.parquet")) == 4
     assert load.load_pages(spark, pages(spark, [69, 70], run="r9"), tables, STAMP).inserted == 1
     assert len(ids(spark, tables)) == 71
+    # A catalog that has forgotten the tables finds the compacted files again.
+    for table in (tables.events, tables.checkpoints, tables.rejects, tables.layouts):
+        spark.sql(f"DROP TABLE {table}")
+    sinks.create_tables(spark, tables.database, tables.location, buckets=4)
+    assert len(ids(spark, tables)) == 71
 
 
 def test_time_layout_is_pruned(spark, tmp_path):
@@ -334,3 +352,23 @@ def test_bounded_dedup(spark, tmp_path):
     query = dedup_within(streamed, "1 hour").writeStream.format("memory").queryName("bounded").trigger(availableNow=True).start()
     query.awaitTermination()
     assert sorted(r["id"] for r in spark.table("bounded").collect()) == names(1, 2)
+
+
+def test_jobs(spark, tmp_path, capsys):
+    from eventmill.__main__ import parse, run
+
+    path = str(tmp_path / "log")
+    land(pages(spark, [1, 2]), path)
+    common = ["--database", "jobs_test", "--location", str(tmp_path / "t"), "--buckets", "4", "--pages", path]
+    run(spark, parse(["batch", *common, "--export", str(tmp_path / "ids")]))
+    assert read_lines(tmp_path / "ids") == names(1, 2)
+    land(pages(spark, [2, 3], first=5), path)
+    run(spark, parse(["stream", *common, "--max-files", "1"]))
+    run(spark, parse(["layout", *common]))
+    run(spark, parse(["layout", *common, "--by", "time", "--out", str(tmp_path / "by")]))
+    run(spark, parse(["report", *common, "--target", "6"]))
+    assert spark.read.parquet(str(tmp_path / "by")).count() == 3
+    out = capsys.readouterr().out
+    assert "inserted 2, rejected 0" in out and "3 / 6 (50.0%)" in out
+    with pytest.raises(SystemExit):
+        parse(["batch", "--database", "d", "--location", "l"])
