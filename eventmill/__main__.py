@@ -34,6 +34,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--offsets", help="streaming checkpoint folder; default: below the location")
     parser.add_argument("--max-files", type=int, help="page files per micro-batch")
     parser.add_argument("--max-bytes", help="size of a micro-batch, such as 1t")
+    parser.add_argument("--every", help="keep streaming at this interval, such as '1 minute'")
     parser.add_argument("--narrow-by-id", action="store_true", help="ids grow over time")
     parser.add_argument("--start-ms", type=int, help="start of the run, for the rate")
     parser.add_argument("--by", choices=["id", "time", "session"], default="id")
@@ -57,7 +58,10 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     elif args.job == "stream":
         pages = stream_pages(spark, args.pages, args.max_files, args.max_bytes)
         offsets = args.offsets or f"{tables.location}/offsets"
-        run_stream(spark, pages, tables, offsets, narrow_by_id=args.narrow_by_id).awaitTermination()
+        query = run_stream(
+            spark, pages, tables, offsets, narrow_by_id=args.narrow_by_id, every=args.every
+        )
+        query.awaitTermination()
     elif args.job == "layout" and args.by == "id":
         print(layout.compact_events(spark, tables))
     elif args.job == "layout":

@@ -29,10 +29,10 @@ def path_bucket(path: Column) -> Column:
 def header_int(headers: Column, name: str) -> Column:
     """Leading integer of a header, NULL when missing or not a number.
 
-    Header names are matched without regard to case.
+    Header names are matched without regard to case; of several spellings the first counts.
     """
-    lowered = F.transform_keys(headers, lambda k, _: F.lower(k))
-    return leading_int(F.element_at(lowered, name))
+    named = F.filter(F.map_entries(headers), lambda e: F.lower(e["key"]) == name)
+    return leading_int(F.get(named, F.lit(0))["value"])
 
 
 def leading_int(value: Column) -> Column:

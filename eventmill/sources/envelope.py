@@ -55,7 +55,8 @@ def decode(pages: DataFrame) -> DataFrame:
     ok = classify(pages).where(F.col("outcome") == "ok").withColumn("_p", body)
     page, meta = F.col("_p.pagination"), F.col("_p.meta")
     default_limit = F.when(F.col("source") == "feed", FEED_LIMIT).otherwise(EVENTS_LIMIT)
-    n_events = F.coalesce(F.size(F.col("_p.data")), F.lit(0)).cast("bigint")
+    data = F.col("_p.data")
+    n_events = F.when(data.isNull(), 0).otherwise(F.size(data)).cast("bigint")
     unusable = F.col("_p").isNull() | F.col(f"_p.{schemas.CORRUPT}").isNotNull()
     return ok.select(
         *PAGE_KEY,
@@ -73,7 +74,7 @@ def decode(pages: DataFrame) -> DataFrame:
         F.coalesce(as_text(field(meta, "requestId")), F.lit("")).alias("request_id"),
         n_events.alias("n_events"),
         F.when(unusable, F.coalesce("body", F.lit(""))).alias("bad_body"),
-        F.col("_p.data").alias("data"),
+        data.alias("data"),
     )
 
 

@@ -21,8 +21,10 @@ def run_stream(
     checkpoint_location: str,
     ingest_ts: datetime | Column | None = None,
     narrow_by_id: bool = False,
+    every: str | None = None,
 ) -> StreamingQuery:
     """Starts loading everything that has landed, then ends; run it again for what came since.
+    With ``every`` (such as ``"1 minute"``) it goes on instead, at that interval.
 
     A batch is written before its offset is committed, so a failure between the two replays the
     batch, and the replay inserts nothing: each id once, whatever is repeated.  No watermark: an
@@ -39,7 +41,7 @@ def run_stream(
     return (
         pages.writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint_location)
-        .trigger(availableNow=True)
+        .trigger(**({"processingTime": every} if every else {"availableNow": True}))
         .start()
     )
 

@@ -155,7 +155,8 @@ def test_outcomes(spark):
     [("feed", 429, {}, 5), ("feed", 429, None, 5), ("feed", 429, {"Retry-After": "9"}, 9),
      ("feed", 429, {"x-ratelimit-reset": "30"}, 5), ("events", 429, {}, 60),
      ("events", 429, {"x-ratelimit-reset": "30"}, 30), ("events", 429, {"retry-after": "x"}, 60),
-     ("events", 429, {"RETRY-AFTER": "0", "x-ratelimit-reset": "30"}, 0), ("events", 200, {}, None)],
+     ("events", 429, {"RETRY-AFTER": "0", "x-ratelimit-reset": "30"}, 0),
+     ("feed", 429, {"Retry-After": "3", "retry-after": "4"}, 3), ("events", 200, {}, None)],
 )
 def test_waits(spark, source, status, headers, wait):
     pairs = [F.lit(x) for kv in (headers or {}).items() for x in kv]

@@ -372,3 +372,17 @@ def test_jobs(spark, tmp_path, capsys):
     assert "inserted 2, rejected 0" in out and "3 / 6 (50.0%)" in out
     with pytest.raises(SystemExit):
         parse(["batch", "--database", "d", "--location", "l"])
+
+
+def test_stream_at_an_interval(spark, tables, tmp_path):
+    path = str(tmp_path / "log")
+    land(pages(spark, [1]), path)
+    stream_ = page_log.stream_pages(spark, path)
+    query = run_stream(spark, stream_, tables, f"{tables.location}/offsets", STAMP, every="1 second")
+    try:
+        query.processAllAvailable()
+        land(pages(spark, [2], first=1), path)
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert ids(spark, tables) == names(1, 2)
