@@ -33,7 +33,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--target", type=int, default=reports.TARGET)
     parser.add_argument("--offsets", help="streaming checkpoint folder; default: below the location")
     parser.add_argument("--max-files", type=int, help="page files per micro-batch")
-    parser.add_argument("--max-bytes", help="size of a micro-batch, such as 1t")
+    parser.add_argument("--max-bytes", type=int, help="bytes of page files per micro-batch")
     parser.add_argument("--every", help="keep streaming at this interval, such as '1 minute'")
     parser.add_argument("--narrow-by-id", action="store_true", help="ids grow over time")
     parser.add_argument("--start-ms", type=int, help="start of the run, for the rate")

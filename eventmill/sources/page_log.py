@@ -24,7 +24,7 @@ def stream_pages(
     spark: SparkSession,
     path: str,
     max_files: int | None = None,
-    max_bytes: str | None = None,
+    max_bytes: int | None = None,
 ) -> DataFrame:
     """The same scan, page files arriving over time.
 

@@ -108,6 +108,12 @@ def test_batch_and_stream_scans_agree(spark, tmp_path):
     query.awaitTermination()
     assert sorted(r["seq"] for r in spark.table("pages").collect()) == [0, 1, 2]
     assert len([p for p in query.recentProgress if p["numInputRows"]]) == 3
+    sized = (
+        page_log.stream_pages(spark, path, max_bytes=1_000_000)
+        .writeStream.format("memory").queryName("sized").trigger(availableNow=True).start()
+    )
+    sized.awaitTermination()
+    assert spark.table("sized").count() == 3
 
 
 def test_headers_survive_landing(spark, tmp_path):
