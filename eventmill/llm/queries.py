@@ -4,15 +4,30 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmill.llm import chat, exact_dedup, licenses, line_frequency, pii
+from eventmill.llm import chat, exact_dedup, licenses, line_frequency, mixing, pii, secrets
 from eventmill.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_secret_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = F.col("spans")
+    base = F.filter(spans, lambda s: s["kind"] < secrets.KINDS.index("random"))
+
+    def count(kind: int) -> Column:
+        return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("bigint")
+
+    return secrets.scan(documents(spark, sf_dir)).select(
+        "doc_id",
+        *[count(i).alias(f"n_{k}") for i, k in enumerate(secrets.KINDS)],
+        F.sha2(secrets.joined(base), 256).alias("base_sha256"),
+        secrets.joined(spans).alias("spans"),
+    )
+
+
 def op3_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_frequency.judge(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
@@ -24,6 +39,11 @@ def op5_license_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(documents(spark, sf_dir))
 
 
+def op7_splitting_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, draws = mixing.mix(documents(spark, sf_dir))
+    return mixing.taken_by_document(rows, draws).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark(documents(spark, sf_dir))
 
@@ -65,5 +85,5 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     q.__name__: q
-    for q in (op3_line_frequency, op5_license_join, op8_exact_dedup, op9_personal_data, op10_chat_format)
+    for q in (op2_secret_battery, op3_line_frequency, op5_license_join, op7_splitting_tree, op8_exact_dedup, op9_personal_data, op10_chat_format)
 }
