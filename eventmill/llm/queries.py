@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmill.llm import chat, exact_dedup, licenses, line_frequency, mixing, pii, secrets
+from eventmill.llm import chat, exact_dedup, jaccard_join, licenses, line_frequency, maxent_lm, mixing, packing, pii, secrets
 from eventmill.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.classes(documents(spark, sf_dir)).select("doc_id", "class_id", "n_links")
+
+
 def op2_secret_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = F.col("spans")
     base = F.filter(spans, lambda s: s["kind"] < secrets.KINDS.index("random"))
@@ -35,10 +39,20 @@ def op3_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir)).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 def op5_license_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(documents(spark, sf_dir))
 
 
+def op6_maxent_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent_lm.score(documents(spark, sf_dir))
+
+
 def op7_splitting_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, draws = mixing.mix(documents(spark, sf_dir))
     return mixing.taken_by_document(rows, draws).select("doc_id", "size", "source_size", "target", "taken")
@@ -85,5 +99,16 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     q.__name__: q
-    for q in (op2_secret_battery, op3_line_frequency, op5_license_join, op7_splitting_tree, op8_exact_dedup, op9_personal_data, op10_chat_format)
+    for q in (
+        op1_jaccard_join,
+        op2_secret_battery,
+        op3_line_frequency,
+        op4_retrieval_packing,
+        op5_license_join,
+        op6_maxent_model,
+        op7_splitting_tree,
+        op8_exact_dedup,
+        op9_personal_data,
+        op10_chat_format,
+    )
 }
