@@ -30,7 +30,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--buckets", type=int, help="of a new event table; default: shuffle partitions")
     parser.add_argument("--pages", help="folder of the landed page log")
     parser.add_argument("--export", help="folder for the sorted ids")
-    parser.add_argument("--target", type=int, default=reports.TARGET)
+    parser.add_argument("--target", type=int, help="batch: load nothing beyond it; report: events wanted")
     parser.add_argument("--offsets", help="streaming checkpoint folder; default: below the location")
     parser.add_argument("--max-files", type=int, help="page files per micro-batch")
     parser.add_argument("--max-bytes", type=int, help="bytes of page files per micro-batch")
@@ -54,7 +54,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     tables = create_tables(spark, args.database, args.location, args.buckets)
     if args.job == "batch":
         done = run_batch(spark, read_pages(spark, args.pages), tables, args.export, args.target)
-        print(f"inserted {done.inserted}, rejected {done.rejected}")
+        print(f"inserted {done.inserted}, rejected {done.rejected}, pages skipped {done.skipped}")
     elif args.job == "stream":
         pages = stream_pages(spark, args.pages, args.max_files, args.max_bytes)
         offsets = args.offsets or f"{tables.location}/offsets"
@@ -76,7 +76,7 @@ def report(spark: SparkSession, tables, args: argparse.Namespace) -> None:
     events = spark.table(tables.events)
     now = int(time.time() * 1000)
     start = args.start_ms if args.start_ms is not None else now
-    line = reports.progress(reports.event_count(events), start, now, args.target)
+    line = reports.progress(reports.event_count(events), start, now, args.target or reports.TARGET)
     line.withColumn("max_ts", reports.max_event_ms(events).scalar()).show(truncate=False)
     load_checkpoint(spark, tables).show(truncate=False)
 

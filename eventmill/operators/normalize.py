@@ -26,9 +26,11 @@ def normalize(events: DataFrame, ingest_ts: Column) -> DataFrame:
     ``ingest_ts`` is the load stamp and stands in for a missing or unreadable event time.
     """
     e = F.col("e")
+    started = [c for c in ("run_started",) if c in events.columns]
     # Step by step, so that no step extracts a member twice.
     split = events.select(
         *PAGE_KEY,
+        *started,
         "pos",
         "e",
         *[text_field(e, member).alias(name) for name, member in TEXT_FIELDS.items()],
@@ -42,6 +44,7 @@ def normalize(events: DataFrame, ingest_ts: Column) -> DataFrame:
         nested = nested | is_container(field(e, member))
     read = split.select(
         *PAGE_KEY,
+        *started,
         "pos",
         *TEXT_FIELDS,
         number_ms(F.col("_ts")).alias("_ms"),
@@ -72,11 +75,14 @@ def normalize(events: DataFrame, ingest_ts: Column) -> DataFrame:
         "seq",
         "pos",
         "reason",
+        *started,
     )
 
 
 def loadable(rows: DataFrame) -> DataFrame:
-    return rows.where(F.col("reason").isNull()).select(*schemas.EVENT_COLUMNS)
+    """Rows for the event table, with the start of their run where a load has added it."""
+    started = [c for c in ("run_started",) if c in rows.columns]
+    return rows.where(F.col("reason").isNull()).select(*schemas.EVENT_COLUMNS, *started)
 
 
 def rejected(rows: DataFrame) -> DataFrame:

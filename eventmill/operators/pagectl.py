@@ -7,6 +7,7 @@ run and source is ``seq``.  Only decoded pages take part: failed requests never
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from eventmill.functions.text import path_bucket
@@ -130,14 +131,33 @@ def page_chain(headers: DataFrame) -> DataFrame:
     )
 
 
-def target_cut(page_counts: DataFrame, target: int) -> DataFrame:
+def target_cut(
+    page_counts: DataFrame, target: int, saved: int = 0, order: str = "run_id"
+) -> DataFrame:
     """Pages until the running total of new rows reaches ``target``, that page included.
 
     ``page_counts`` holds ``new_rows`` per page.  Adds ``total`` (running) and
-    ``is_target_page``, true for the page that reaches it.
+    ``is_target_page``, true for the page that reaches it.  The total goes on from one run to the
+    next, by ``order`` and the feed first, and starts at the rows ``saved`` already.  Totals of
+    whole runs, one row each, give a run its start.
     """
-    totals = running(
-        page_counts, RUN, "seq", {"total": Running("sum", F.col("new_rows").cast("bigint"))}
+    within = running(
+        page_counts, RUN, "seq", {"_within": Running("sum", F.col("new_rows").cast("bigint"))}
+    )
+    fallback = F.when(F.col("source") == "feed", 0).otherwise(1)
+    earlier = W.orderBy("_order", "run_id", fallback).rowsBetween(W.unboundedPreceding, -1)
+    starts = (
+        page_counts.groupBy(*RUN)
+        .agg(F.sum("new_rows").cast("bigint").alias("_rows"), F.min(order).alias("_order"))
+        .select(*[F.col(c).alias(f"_{c}") for c in RUN], "_rows", "_order", "run_id", "source")
+        .withColumn("_start", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) + F.lit(saved))
+        .drop("run_id", "source")
+    )
+    same = F.lit(True)
+    for c in RUN:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    totals = within.join(starts, same).select(
+        *page_counts.columns, (F.col("_start") + F.col("_within")).alias("total")
     )
     before = F.col("total") - F.col("new_rows")
     return totals.where(before < target).withColumn("is_target_page", F.col("total") >= target)

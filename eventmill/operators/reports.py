@@ -15,13 +15,22 @@ def event_count(events: DataFrame) -> DataFrame:
     return events.agg(F.count("*").alias("count"))
 
 
+def true_time(events: DataFrame) -> Column:
+    """The event's own time; NULL where the load stamp stands in for it."""
+    if "ts_defaulted" not in events.columns:
+        return F.col("timestamp")
+    return F.when(~F.col("ts_defaulted"), F.col("timestamp"))
+
+
 def max_event_ms(events: DataFrame, mode: str = "floor") -> DataFrame:
     """Latest event time as epoch milliseconds in whole seconds; NULL for an empty table.
 
+    Load stamps are no event times: a resume from one would skip what came before the load.
+
     ``floor`` never passes the true maximum, so a resume from it skips nothing.  ``round`` goes
     to the nearest second and may pass it by up to half a second.
     """
-    latest = F.max("timestamp")
+    latest = F.max(true_time(events))
     if mode == "floor":
         seconds = F.unix_seconds(latest)
     elif mode == "round":
@@ -79,15 +88,19 @@ def progress(
 def session_rollup(events: DataFrame) -> DataFrame:
     """Event count, first and last event and duration (ms) per session, and its first user.
 
+    Times are those that events carry; ``defaulted`` counts the events that carry none.
+
     Built from partial aggregates, so a session of any size, the NULL session included,
     reaches its reducer as one row per map task.
     """
     first_user = F.min_by(F.col("user_id"), F.struct("timestamp", "id"))
+    own = true_time(events)
     return events.groupBy("session_id").agg(
         F.count("*").alias("event_count"),
-        F.unix_millis(F.min("timestamp")).alias("started_ms"),
-        F.unix_millis(F.max("timestamp")).alias("ended_ms"),
-        (F.unix_millis(F.max("timestamp")) - F.unix_millis(F.min("timestamp"))).alias("duration_ms"),
+        F.count_if(own.isNull()).alias("defaulted"),
+        F.unix_millis(F.min(own)).alias("started_ms"),
+        F.unix_millis(F.max(own)).alias("ended_ms"),
+        (F.unix_millis(F.max(own)) - F.unix_millis(F.min(own))).alias("duration_ms"),
         first_user.alias("user_id"),
     )
 
@@ -100,22 +113,30 @@ def page_check(headers: DataFrame) -> DataFrame:
     )
 
 
-def reconcile(headers: DataFrame, events: DataFrame, target: int = TARGET) -> DataFrame:
-    """Per run and source: events announced, delivered, distinct, and the shortfalls."""
+def reconcile(
+    headers: DataFrame, arrived: DataFrame, events: DataFrame, target: int = TARGET
+) -> DataFrame:
+    """Per run and source: events announced, delivered, distinct, and the shortfalls.
+
+    ``arrived`` holds every delivered copy: a run's distinct ids are those that it delivered,
+    whichever run's copy the table keeps.  ``loaded_ids`` says how many it keeps of this run.
+    """
     keys = ["run_id", "source"]
     delivered = headers.groupBy(*keys).agg(
         F.max("meta_total").alias("announced"),
         F.sum("meta_returned").alias("returned"),
         F.sum("n_events").alias("delivered"),
     )
-    distinct = events.groupBy(*keys).agg(F.count_distinct("id").alias("distinct_ids"))
+    distinct = arrived.groupBy(*keys).agg(F.count_distinct("id").alias("distinct_ids"))
+    loaded = events.groupBy(*keys).agg(F.count("*").alias("loaded_ids"))
     ids = F.coalesce("distinct_ids", F.lit(0)).cast("bigint")
-    return delivered.join(distinct, keys, "left").select(
+    return delivered.join(distinct, keys, "left").join(loaded, keys, "left").select(
         *keys,
         "announced",
         "returned",
         "delivered",
         ids.alias("distinct_ids"),
+        F.coalesce("loaded_ids", F.lit(0)).cast("bigint").alias("loaded_ids"),
         (F.col("returned") - F.col("delivered")).alias("returned_diff"),
         (F.col("announced") - ids).alias("missing"),
         F.greatest(F.lit(target) - ids, F.lit(0)).cast("bigint").alias("target_shortfall"),

@@ -8,9 +8,10 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from eventmill.operators.dedup import STARTED
 from eventmill.operators.normalize import loadable, normalize, rejected
 from eventmill.operators.pagectl import keep_until, stop_points
-from eventmill.operators.reports import event_count, latest_checkpoint, target_reached
+from eventmill.operators.reports import event_count, latest_checkpoint
 from eventmill.schemas import CORRUPT
 from eventmill.sinks.export import export_ids
 from eventmill.sinks.tables import (
@@ -25,8 +26,11 @@ from eventmill.sources.envelope import bad_bodies, bad_lines, decode, flatten, h
 
 @dataclass(frozen=True)
 class LoadResult:
+    """``skipped``: pages that were landed but not loaded, because the named target was met."""
+
     inserted: int
     rejected: int
+    skipped: int = 0
 
 
 def as_column(ingest_ts: datetime | Column | None) -> Column:
@@ -83,15 +87,21 @@ def load_staged(
 ) -> LoadResult:
     """Loads decoded pages from the staging folder.
 
+    Of several copies in the same load the first to arrive wins, by the start of their runs.
+    Stop rules tell a fetcher when to end; a page that was landed is loaded unless the caller
+    asks for them, and the pages they cut off are recorded as rejects, ``after_stop``.
     Rejects are counted on the way; the pass that records them runs only if there are any.  A
     retried task may count a reject twice, which does no harm to a test against zero.
     """
-    used = staged
+    runs = staged.groupBy("run_id").agg(F.min("requested_at").alias(STARTED))
+    used = staged.join(overwrite_stage(runs, f"{tables.stage}/runs"), "run_id", "left")
+    cut = None
     if apply_stop_rules:
         # Written first: with its size known from the files, this small frame is broadcast by
         # the planner from the start, and the page bodies stay where they are.
         stops = overwrite_stage(stop_points(headers(staged)), f"{tables.stage}/stops")
-        used = keep_until(staged, stops)
+        used = keep_until(used, stops)
+        cut = after_stop(headers(staged), stops)
     rows = normalize(flatten(used), stamp)
     checked = Observation()
     counted = rows.observe(checked, F.count_if(F.col("reason").isNotNull()).alias("n"))
@@ -99,7 +109,7 @@ def load_staged(
     inserted = insert_if_absent(spark, loadable(counted), tables, bounds)
 
     n_rejected = 0
-    bodies = bad_bodies(staged)
+    bodies = bad_bodies(staged) if cut is None else bad_bodies(staged).unionByName(cut)
     if checked.get.get("n", 0):
         n_rejected = append_rejects(spark, rejected(rows).unionByName(bodies), tables, stamp)
     elif not bodies.isEmpty():
@@ -107,6 +117,23 @@ def load_staged(
     return LoadResult(inserted, n_rejected)
 
 
+def after_stop(pages: DataFrame, stops: DataFrame) -> DataFrame:
+    """Rejects among the pages: those beyond their run's stop."""
+    limits = stops.select("run_id", "source", "stop_seq")
+    return (
+        pages.join(limits, ["run_id", "source"])
+        .where(F.col("seq") > F.col("stop_seq"))
+        .select(
+            "run_id",
+            "source",
+            "seq",
+            F.lit(None).cast("int").alias("pos"),
+            F.lit("after_stop").alias("reason"),
+            F.lit(None).cast("string").alias("raw"),
+        )
+    )
+
+
 def count_events(spark: SparkSession, tables: Tables) -> int:
     spark.catalog.refreshTable(tables.events)
     return event_count(spark.table(tables.events)).first()["count"]
@@ -117,27 +144,36 @@ def run_batch(
     pages: DataFrame,
     tables: Tables,
     export_path: str,
-    target: int,
+    target: int | None = None,
     ingest_ts: datetime | Column | None = None,
-    apply_stop_rules: bool = True,
+    apply_stop_rules: bool = False,
 ) -> LoadResult:
-    """The whole job: skip if the target is met, else load, save the final checkpoint; export.
+    """The whole job: load everything that was landed, save the final checkpoint; export.
 
-    The pages are parsed once.  The feed is loaded first, and the events source only if the
-    feed leaves the table short.
+    The pages are parsed once.  With a ``target`` named, nothing is loaded once the table holds
+    that many events, and the events source only if the feed leaves the table short; the result
+    tells how many pages were left out.
     """
     loaded = LoadResult(0, 0)
     stamp = as_column(ingest_ts)
-    before = count_events(spark, tables)
-    if before < target:
+    before = 0 if target is None else count_events(spark, tables)
+    if target is not None and before >= target:
+        loaded = LoadResult(0, 0, pages.count())
+    else:
         staged, lines = stage_pages(spark, pages, tables, stamp)
-        loaded = LoadResult(0, lines)
-        for source in ("feed", "events"):
-            one = staged.where(F.col("source") == source)
-            part = load_staged(spark, one, tables, stamp, apply_stop_rules)
-            loaded = LoadResult(loaded.inserted + part.inserted, loaded.rejected + part.rejected)
-            if before + loaded.inserted >= target:
-                break
+        if target is None:
+            part = load_staged(spark, staged, tables, stamp, apply_stop_rules)
+            loaded = LoadResult(part.inserted, part.rejected + lines)
+        else:
+            feed = staged.where(F.col("source") == "feed")
+            part = load_staged(spark, feed, tables, stamp, apply_stop_rules)
+            loaded = LoadResult(part.inserted, part.rejected + lines)
+            rest = staged.where(~F.col("source").eqNullSafe("feed"))
+            if before + loaded.inserted < target:
+                part = load_staged(spark, rest, tables, stamp, apply_stop_rules)
+                loaded = LoadResult(loaded.inserted + part.inserted, loaded.rejected + part.rejected)
+            else:
+                loaded = LoadResult(loaded.inserted, loaded.rejected, rest.count())
         finish(spark, tables, next_version(spark, tables))
     export_ids(spark.table(tables.events), export_path)
     return loaded
@@ -163,8 +199,3 @@ def load_checkpoint(spark: SparkSession, tables: Tables) -> DataFrame:
     spark.catalog.refreshTable(tables.checkpoints)
     return latest_checkpoint(spark.table(tables.checkpoints)).where("id = 1")
 
-
-def needs_load(spark: SparkSession, tables: Tables, target: int) -> bool:
-    spark.catalog.refreshTable(tables.events)
-    counted = event_count(spark.table(tables.events))
-    return not target_reached(counted, target).first()["reached"]

@@ -25,7 +25,7 @@ EVENTS = (
 CHECKPOINTS = "id INT, cursor STRING, events_saved BIGINT, updated_at TIMESTAMP, version BIGINT"
 REJECTS = (
     "run_id STRING, source STRING, seq BIGINT, pos INT, reason STRING, raw STRING, "
-    "ingested_at TIMESTAMP"
+    "ingested_at TIMESTAMP, file STRING"
 )
 
 # Where the event table's files are: the row with the highest version names the folder.

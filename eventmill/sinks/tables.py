@@ -138,10 +138,13 @@ def append_rejects(
 ) -> int:
     """Adds rejects that are not recorded yet, so a replay records none twice; returns how many.
 
-    The raw text is part of the key: lines that could not be read have nothing else.
+    Raw text and file are part of the key: lines that could not be read have nothing else, and
+    equal ones may come again in another file.
     """
+    if "file" not in rejects.columns:
+        rejects = rejects.withColumn("file", F.lit(None).cast("string"))
     spark.catalog.refreshTable(tables.rejects)
-    key = ["run_id", "source", "seq", "pos", "reason"]
+    key = ["run_id", "source", "seq", "pos", "reason", "file"]
     digest = F.xxhash64("raw").alias("_raw")
     known = spark.table(tables.rejects).select(*key, digest).alias("old")
     same = F.lit(True)

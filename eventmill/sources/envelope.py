@@ -92,18 +92,20 @@ def flatten(decoded: DataFrame) -> DataFrame:
     The outer form with a filter behind it gives the same rows as the inner one.  For the inner
     form the planner adds a filter on the array's size, and parses each page again for it.
     """
-    return decoded.select(*PAGE_KEY, F.posexplode_outer("data").alias("pos", "e")).where(
+    started = [c for c in ("run_started",) if c in decoded.columns]
+    return decoded.select(*PAGE_KEY, *started, F.posexplode_outer("data").alias("pos", "e")).where(
         F.col("pos").isNotNull()
     )
 
 
 def bad_lines(pages: DataFrame) -> DataFrame:
-    """Rejects among the log's lines: those the reader could not read."""
+    """Rejects among the log's lines: those the reader could not read, with the file they are in."""
     return pages.where(F.col(schemas.CORRUPT).isNotNull()).select(
         *PAGE_KEY,
         F.lit(None).cast("int").alias("pos"),
         F.lit("bad_line").alias("reason"),
         F.col(schemas.CORRUPT).alias("raw"),
+        F.input_file_name().alias("file"),
     )
 
 

@@ -51,7 +51,7 @@ def test_absent_from(spark):
 
 def timed(spark, source, *values):
     at = [(i, "r", source, s, 0, v, datetime.fromtimestamp(t / 1000, timezone.utc)) for i, s, v, t in values]
-    return spark.createDataFrame(at, SCHEMA + ", timestamp timestamp")
+    return spark.createDataFrame(at, SCHEMA + ", timestamp timestamp").withColumn("ts_defaulted", F.lit(False))
 
 
 @pytest.fixture
@@ -75,6 +75,13 @@ def test_no_backfill_once_the_target_is_met(feed, fallback):
     assert kept(dedup.backfill(feed, fallback, target_count=2)) == [("a", "feed"), ("b", "feed")]
 
 
+def test_load_stamps_move_no_bound_and_are_not_cut(spark, feed, fallback):
+    stamped = feed.unionByName(timed(spark, "feed", ("z", 2, "feed", 99_000)).withColumn("ts_defaulted", F.lit(True)))
+    late = fallback.withColumn("ts_defaulted", F.col("id") == "c")
+    out = kept(dedup.backfill(stamped, late, target_count=10))
+    assert out == [("a", "feed"), ("b", "feed"), ("c", "fb"), ("d", "fb"), ("e", "fb"), ("z", "feed")]
+
+
 def test_backfill_of_nothing_takes_all(feed, fallback):
     assert len(kept(dedup.backfill(feed.where("false"), fallback, 10))) == 4
 

@@ -101,7 +101,7 @@ def test_reports_read_only_their_columns(spark, tables):
     events = spark.table(tables.events)
     for df, read in (
         (reports.event_count(events), "struct<>"),
-        (reports.max_event_ms(events), "struct<timestamp:timestamp>"),
+        (reports.max_event_ms(events), "struct<timestamp:timestamp,ts_defaulted:boolean>"),
         (events.select("id").orderBy("id"), "struct<id:string>"),
     ):
         assert f"ReadSchema: {read}" in df._jdf.queryExecution().executedPlan().toString()
@@ -137,7 +137,9 @@ def test_torn_lines_are_rejected_by_name(spark, tables, tmp_path):
 
 def test_stop_rules_in_a_load(spark, tables):
     log_ = pages(spark, [1], *[[]] * 10, [2])
-    assert load.load_pages(spark, log_, tables, STAMP, apply_stop_rules=True).inserted == 1
+    done = load.load_pages(spark, log_, tables, STAMP, apply_stop_rules=True)
+    assert (done.inserted, done.rejected) == (1, 1)
+    assert rejects(spark, tables) == [("after_stop", 11, None)]
     assert load.load_pages(spark, log_, tables, STAMP).inserted == 1
     assert ids(spark, tables) == names(1, 2)
 
@@ -174,15 +176,30 @@ def test_run_batch_then_skip(spark, tables, tmp_path):
     assert load.run_batch(spark, both, tables, out, target=100, ingest_ts=STAMP).inserted == 5
     assert read_lines(out) == names(1, 2, 3, 4, 5)
     assert load.load_checkpoint(spark, tables).first()["events_saved"] == 5
-    assert load.needs_load(spark, tables, 6) and not load.needs_load(spark, tables, 5)
     more = both.unionByName(pages(spark, [6], first=9))
-    assert load.run_batch(spark, more, tables, out, target=5, ingest_ts=STAMP).inserted == 0
+    done = load.run_batch(spark, more, tables, out, target=5, ingest_ts=STAMP)
+    assert (done.inserted, done.skipped) == (0, 5)
     assert len(read_lines(out)) == 5
+    assert load.run_batch(spark, more, tables, out, ingest_ts=STAMP).inserted == 1
+
+
+def test_batch_loads_what_was_landed_after_a_last_page(spark, tables, tmp_path):
+    log_ = log(spark, [page(0, body([event(1)], has_more=False)), page(1, body([event(2)]))])
+    assert load.run_batch(spark, log_, tables, str(tmp_path / "ids"), ingest_ts=STAMP).inserted == 2
+
+
+def test_equal_torn_lines_of_two_files_are_two(spark, tables, tmp_path):
+    for i in range(2):
+        path = tmp_path / f"log{i}"
+        path.mkdir()
+        (path / "torn.json").write_text('{"broken"\n')
+        for expected in (1, 0):
+            assert load.load_pages(spark, page_log.read_pages(spark, str(path)), tables, STAMP).rejected == expected
 
 
 def test_fallback_is_left_out_when_the_feed_suffices(spark, tables, tmp_path):
     both = pages(spark, [1, 2]).unionByName(pages(spark, [3], source="events"))
-    assert load.run_batch(spark, both, tables, str(tmp_path / "ids"), target=2, ingest_ts=STAMP).inserted == 2
+    assert load.run_batch(spark, both, tables, str(tmp_path / "ids"), target=2, ingest_ts=STAMP) == load.LoadResult(2, 0, 1)
     assert ids(spark, tables) == names(1, 2)
 
 

@@ -152,6 +152,15 @@ def test_target_cut(spark):
     assert pagectl.target_cut(counts, 100).count() == 5
 
 
+def test_target_is_one_total_for_all_runs(spark):
+    rows = [("r2", "feed", 0, 5), ("r1", "events", 0, 5), ("r1", "feed", 1, 5), ("r1", "feed", 0, 5)]
+    counts = spark.createDataFrame(rows, "run_id string, source string, seq long, new_rows long")
+    out = pagectl.target_cut(counts, 18, saved=4).orderBy("total").collect()
+    assert [(r["run_id"], r["source"], r["seq"], r["total"]) for r in out] == [
+        ("r1", "feed", 0, 9), ("r1", "feed", 1, 14), ("r1", "events", 0, 19)
+    ]
+
+
 def test_pacing(spark):
     start = datetime(2024, 1, 1, tzinfo=timezone.utc)
     limit = {"x-ratelimit-limit": "10", "x-ratelimit-reset": "60"}

@@ -7,6 +7,8 @@ and the pages are written as the fetching job would land them.  Four logs:
               ``early``), all events, late copies of the ``click`` events (type ``late``).
 ``control``   three runs with empty pages, chain breaks, differing envelopes and terminal pages.
 ``sources``   feed and events source: the feed misses everything from ``FEED_END`` on.
+``timeless``  the same, with a third of the events without a time.
+``clashing``  ``run-10`` started a year after ``run-2``; the fallback's pages come first by number.
 ``dirty``     events and pages that cannot be loaded among those that can.
 ``requests``  one request per event, with every kind of response.
 ``sessions``  pages of session records.
@@ -121,6 +123,7 @@ def _arrivals(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     logs = []
     for i, (run, rows, type_) in enumerate(segments):
         pages = _pages(rows.withColumn("json", raw_json(type_)))
+        pages = pages.withColumn("requested_at", F.col("requested_at") + F.expr(f"INTERVAL {i * 366} DAY"))
         seq = F.col("p") + F.lit(i * SEGMENT)
         body = _nested(F.col("data"), F.col("n"), F.lit(True), cursor(seq))
         logs.append(_log(pages, run_id=F.lit(run), source=F.lit("feed"), seq=seq, body=body))
@@ -177,7 +180,7 @@ def _control(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     ]
 
 
-def _sources(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+def _sources(spark: SparkSession, sf_dir: str, ts: Column | None = None) -> list[DataFrame]:
     ev = events(spark, sf_dir)
     parts = [
         ("feed", ev.where(F.col("ts") < F.lit(FEED_END).cast("timestamp_ntz")), F.col("event_type")),
@@ -185,14 +188,34 @@ def _sources(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     ]
     logs = []
     for source, rows, type_ in parts:
-        # The time is always known here, so that the bound is the latest event, not the load.
-        ms = F.unix_millis("at").cast("string")
+        ms = F.unix_millis("at").cast("string") if ts is None else ts
         pages = _pages(rows.withColumn("json", raw_json(type_, ts=ms)))
         body = _nested(F.col("data"), F.col("n"), F.lit(True), cursor(F.col("p")))
         logs.append(_log(pages, run_id=F.lit("run-1"), source=F.lit(source), seq=F.col("p"), body=body))
     return logs
 
 
+def _timeless(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    return _sources(spark, sf_dir, _timestamp_json())
+
+
+def _clashing(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    ev = events(spark, sf_dir)
+    parts = [
+        ("run-10", "feed", 0, 366, ev),
+        ("run-2", "feed", SEGMENT, 0, ev.where(F.col("event_type") == "view")),
+        ("run-2", "events", 0, 0, ev.where(F.col("event_type").isin("view", "click"))),
+    ]
+    logs = []
+    for run, source, first, days, rows in parts:
+        pages = _pages(rows.withColumn("json", raw_json(F.lit(f"{run}-{source}"))))
+        later = pages.withColumn("requested_at", F.col("requested_at") + F.expr(f"INTERVAL {days} DAY"))
+        seq = F.col("p") + F.lit(first)
+        body = _nested(F.col("data"), F.col("n"), F.lit(True), cursor(seq))
+        logs.append(_log(later, run_id=F.lit(run), source=F.lit(source), seq=seq, body=body))
+    return logs
+
+
 def _dirty(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     kind = F.col("event_id") % 11
     eid = F.col("event_id").cast("string")
@@ -280,6 +303,8 @@ _LOGS = {
     "arrivals": _arrivals,
     "control": _control,
     "sources": _sources,
+    "timeless": _timeless,
+    "clashing": _clashing,
     "dirty": _dirty,
     "requests": _requests,
     "sessions": _sessions,

@@ -203,7 +203,8 @@ FROM documents""",
     "classify_responses": _with(_REQ, "SELECT seq, source, status, outcome, wait_s FROM cls"),
     "page_flags": _with(_CTL, "SELECT seq, n_events > 0 AS nonempty, NOT has_more AS terminal FROM ctl"),
     "target_reached": _with(_WIN, """
-SELECT count(*) AS count, count(*) >= 3000 AS reached, max(ms) // 1000 * 1000 AS since_ms FROM win"""),
+SELECT count(*) AS count, count(*) >= 3000 AS reached, max(ms) FILTER (NOT ts_defaulted) // 1000 * 1000 AS since_ms
+FROM win"""),
     "key_check": _with(_WIN, """
 SELECT count(*) AS row_count, count(DISTINCT id) AS distinct_ids, 0::BIGINT AS null_ids,
        count(*) = count(DISTINCT id) AS is_key, 'arrivals' AS stage FROM arr
@@ -254,15 +255,16 @@ SELECT n AS saved, 3000000::BIGINT AS target, format('{:.1f}', n / 3000000 * 100
          || ' evt/s' AS line
 FROM t"""),
     "session_rollup": _with(_WIN, """
-SELECT session_id, count(*) AS event_count, min(ms) AS started_ms, max(ms) AS ended_ms,
-       max(ms) - min(ms) AS duration_ms, CAST(any_value(user_id) AS VARCHAR) AS user_id
+SELECT session_id, count(*) AS event_count, count(*) FILTER (ts_defaulted) AS defaulted,
+       min(ms) FILTER (NOT ts_defaulted) AS started_ms, max(ms) FILTER (NOT ts_defaulted) AS ended_ms,
+       max(ms) FILTER (NOT ts_defaulted) - min(ms) FILTER (NOT ts_defaulted) AS duration_ms, CAST(any_value(user_id) AS VARCHAR) AS user_id
 FROM win GROUP BY session_id"""),
     "reconcile": _with(_WIN, """,
-d AS (SELECT run_id, count(*) AS delivered FROM arr GROUP BY 1),
-u AS (SELECT run_id, count(*) AS ids FROM win GROUP BY 1)
+d AS (SELECT run_id, count(*) AS delivered, count(DISTINCT id) AS ids FROM arr GROUP BY 1),
+u AS (SELECT run_id, count(*) AS loaded_ids FROM win GROUP BY 1)
 SELECT d.run_id, 'feed' AS source, 3000000::BIGINT AS announced, delivered AS returned, delivered,
-       coalesce(ids, 0) AS distinct_ids, 0::BIGINT AS returned_diff, 3000000 - coalesce(ids, 0) AS missing,
-       3000000 - coalesce(ids, 0) AS target_shortfall
+       ids AS distinct_ids, coalesce(loaded_ids, 0) AS loaded_ids, 0::BIGINT AS returned_diff,
+       3000000 - ids AS missing, 3000000 - ids AS target_shortfall
 FROM d LEFT JOIN u ON d.run_id = u.run_id"""),
     "page_check": _with(_CTL, """
 SELECT run_id, source, seq, n_events, n_events AS meta_returned, 0::BIGINT AS returned_diff FROM ctl"""),
@@ -295,7 +297,7 @@ SELECT run_id, source, seq, page_no,
 FROM num WHERE page_no % CASE WHEN source = 'feed' THEN 10 ELSE 5 END = 0"""),
     "target_cut": _with(_WIN, """,
 n AS (SELECT run_id, 'feed' AS source, seq, count(*) AS new_rows FROM win GROUP BY 1, 2, 3),
-r AS (SELECT *, CAST(sum(new_rows) OVER (PARTITION BY run_id ORDER BY seq) AS BIGINT) AS total FROM n)
+r AS (SELECT *, CAST(sum(new_rows) OVER (ORDER BY run_id, seq) AS BIGINT) AS total FROM n)
 SELECT run_id, source, seq, new_rows, total, total >= 3000 AS is_target_page FROM r
 WHERE total - new_rows < 3000"""),
     "pacing_audit": _with(_PACING, """
@@ -315,11 +317,30 @@ FROM win GROUP BY 1"""),
     "stream_ingest": _with(_WIN, f"SELECT {_SLIM} FROM win"),
     "stream_resume": _with(_WIN, """
 SELECT run_id, count(*) AS events, (SELECT count(*) FROM win) AS events_saved FROM win GROUP BY 1"""),
-    "run_job": _with(_CTL + "," + _EV, """
-SELECT DISTINCT ev.id
+    "run_job": _with(_EV, "SELECT id FROM ev"),
+    "run_job_stopped": _with(_CTL + "," + _EV, """
+SELECT DISTINCT ev.id, NULL::VARCHAR AS run_id, NULL::BIGINT AS seq
 FROM ev JOIN ctl c ON c.p = ev.p AND c.slot = 0
 JOIN stops s ON c.run_id = s.run_id AND c.source = s.source
-WHERE c.seq <= coalesce(least(s.e, s.t), c.seq)"""),
+WHERE c.seq <= coalesce(least(s.e, s.t), c.seq)
+UNION ALL
+SELECT NULL, c.run_id, c.seq FROM ctl c JOIN stops s ON c.run_id = s.run_id AND c.source = s.source
+WHERE c.seq > least(s.e, s.t)"""),
+    "load_clashing": _with(_EV, """
+SELECT id, CASE event_type WHEN 'view' THEN 'run-2-feed' WHEN 'click' THEN 'run-2-events'
+                           ELSE 'run-10-feed' END AS type,
+       CASE WHEN event_type IN ('view', 'click') THEN 'run-2' ELSE 'run-10' END AS run_id,
+       CASE event_type WHEN 'click' THEN 'events' ELSE 'feed' END AS source FROM ev"""),
+    "backfill_missing_times": _with(_EV, """,
+f AS (SELECT id, event_type AS type, ms, ts_defaulted, 0 AS rnk, p,
+             row_number() OVER (PARTITION BY p ORDER BY event_id) - 1 AS pos
+      FROM ev WHERE ts < TIMESTAMP '2024-01-16'),
+b AS (SELECT id, 'fallback' AS type, ms, ts_defaulted, 1 AS rnk, p,
+             row_number() OVER (PARTITION BY p ORDER BY event_id) - 1 AS pos FROM ev),
+s AS (SELECT * FROM f UNION ALL SELECT * FROM b
+      WHERE ts_defaulted OR ms >= (SELECT max(ms) // 1000 * 1000 FROM f WHERE NOT ts_defaulted))
+SELECT id, type, ms, 'run-1' AS run_id, p AS seq, CAST(pos AS INT) AS pos
+FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY rnk, p, pos) AS rn FROM s) WHERE rn = 1"""),
     "short_circuit": _with(_EV, "SELECT id FROM ev WHERE event_type = 'click'"),
 }
 

@@ -328,6 +328,14 @@ def backfill_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return slim(dedup.backfill(feed, fallback, reports.TARGET))
 
 
+def backfill_missing_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Backfill where a third of either source's events carry no time."""
+    rows = sinks.overwrite_stage(typed(spark, sf_dir, "timeless"), scratch_dir(spark, "timeless"))
+    feed = dedup.first_wins(rows.where(F.col("source") == "feed"))
+    fallback = rows.where(F.col("source") == "events")
+    return slim(dedup.backfill(feed, fallback, reports.TARGET))
+
+
 def replay_attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Attempts in another order than their run ids, one of them repeated."""
     rows = typed(spark, sf_dir)
@@ -343,7 +351,7 @@ def event_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def max_event_ms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = loaded(spark, sf_dir).where(~F.col("ts_defaulted"))
+    rows = loaded(spark, sf_dir)
     floor = reports.max_event_ms(rows).withColumn("mode", F.lit("floor"))
     return floor.unionByName(reports.max_event_ms(rows, "round").withColumn("mode", F.lit("round")))
 
@@ -362,7 +370,7 @@ def session_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = envelope.headers(envelope.decode(landed(spark, sf_dir, "arrivals")))
-    return reports.reconcile(pages, loaded(spark, sf_dir))
+    return reports.reconcile(pages, typed(spark, sf_dir), loaded(spark, sf_dir))
 
 
 def page_check(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -517,13 +525,31 @@ def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def run_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole job on the control log, stop rules on; exported ids."""
+    """The whole job on the control log, whose runs go on after their last pages; exported ids."""
     t = fresh_tables(spark)
     out = f"{t.location}/ids"
-    load.run_batch(spark, landed(spark, sf_dir, "control"), t, out, reports.TARGET, INGEST_TS)
+    load.run_batch(spark, landed(spark, sf_dir, "control"), t, out, ingest_ts=INGEST_TS)
     return spark.read.text(out).withColumnRenamed("value", "id")
 
 
+def run_job_stopped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with stop rules asked for: ids loaded, and the pages that were cut off."""
+    t = fresh_tables(spark)
+    load.load_pages(spark, landed(spark, sf_dir, "control"), t, INGEST_TS, apply_stop_rules=True)
+    none = F.lit(None).cast("string")
+    cut = spark.table(t.rejects).where(F.col("reason") == "after_stop")
+    return spark.table(t.events).select("id", none.alias("run_id"), F.lit(None).cast("bigint").alias("seq")).unionByName(
+        cut.select(none.alias("id"), "run_id", "seq")
+    )
+
+
+def load_clashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs whose ids do not sort as they started, and both sources with the same ids."""
+    t = fresh_tables(spark)
+    load.load_pages(spark, landed(spark, sf_dir, "clashing"), t, INGEST_TS)
+    return spark.table(t.events).select("id", "type", "run_id", "source")
+
+
 def short_circuit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The job again once the target is met: nothing is loaded, the ids are exported."""
     t = fresh_tables(spark)
@@ -568,6 +594,9 @@ QUERIES: dict[str, Query] = {
     "load_dirty": load_dirty,
     "page_chain": page_chain,
     "backfill_union": backfill_union,
+    "backfill_missing_times": backfill_missing_times,
+    "load_clashing": load_clashing,
+    "run_job_stopped": run_job_stopped,
     "replay_attempts": replay_attempts,
     "event_count": event_count,
     "max_event_ms": max_event_ms,
