@@ -18,9 +18,13 @@ SIMPLE = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:]*)")
 
 
 class WordTokens:
-    """``ids(texts)`` gives the token ids of each text as little-endian unsigned 16-bit bytes."""
+    """``ids(texts)`` gives the token ids of each text as little-endian unsigned 16-bit bytes.
 
-    def __init__(self, path: str, stored: int = 400_000):
+    Two generations of up to about ``stored`` words are kept; a word of the older one that comes
+    again moves to the newer, so frequent words stay when rare ones are dropped.
+    """
+
+    def __init__(self, path: str, stored: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -33,6 +37,7 @@ class WordTokens:
             self.ends[i] = token.endswith("</w>")
         self.stored = stored
         self.words: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
     def _single(self, texts: list[str]) -> list[bytes]:
@@ -70,11 +75,14 @@ class WordTokens:
     def ids(self, texts: Iterable[str]) -> list[bytes]:
         split = [t.encode().split() for t in texts]
         if len(self.words) > self.stored:
-            self.words.clear()
+            self.older, self.words = self.words, {}
+        if len(self.pieces) > self.stored:
             self.pieces.clear()
         new: set[bytes] = set()
         for ws in split:
             new.update(ws)
         new.difference_update(self.words)
-        self._learn(new)
+        again = {w: self.older[w] for w in new if w in self.older}
+        self.words.update(again)
+        self._learn(new.difference(again))
         return [b"".join(map(self.words.__getitem__, ws)) for ws in split]
