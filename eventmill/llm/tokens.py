@@ -24,7 +24,7 @@ class WordTokens:
     again moves to the newer, so frequent words stay when rare ones are dropped.
     """
 
-    def __init__(self, path: str, stored: int = 600_000):
+    def __init__(self, path: str, stored: int = 900_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -59,13 +59,17 @@ class WordTokens:
     def _learn(self, words: Iterable[bytes]) -> None:
         simple, odd = [], []
         for word in words:
+            core = word.rstrip(b".,!?;:")
+            if core.isalpha():  # of bytes: A-Z and a-z only
+                simple.append((word, core.lower().decode(), word[len(core) :].decode()))
+                continue
             m = SIMPLE.fullmatch(word.decode())
             if m:
                 simple.append((word, m[1].lower(), m[2]))
             else:
                 odd.append(word)
         new = {p for _, a, b in simple for p in (a, b) if p and p not in self.pieces}
-        self._learn_pieces(sorted(new))
+        self._learn_pieces(list(new))
         empty = b""
         for word, a, b in simple:
             self.words[word] = self.pieces[a] + (self.pieces[b] if b else empty)
