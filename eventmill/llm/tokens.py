@@ -85,7 +85,7 @@ class WordTokens:
         new: set[bytes] = set()
         for ws in split:
             new.update(ws)
-        new.difference_update(self.words)
+        new = new.difference(self.words)  # unlike difference_update, walks the smaller side
         again = {w: self.older[w] for w in new if w in self.older}
         self.words.update(again)
         self._learn(new.difference(again))
