@@ -24,15 +24,25 @@ _MINUTES = _DAY + r"[T ][0-9]{2}:[0-9]{2}" + _ZONE
 # Other date texts accepted, as (shape, text to remove, pattern).
 OTHER_FORMATS = [
     (r"^[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}$", "", "y/M/d X"),
+    (r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$", "", "y-M-d X"),
+    (r"^[0-9]{4}/[0-9]{1,2}/[0-9]{1,2} [0-9]{1,2}:[0-9]{2}$", "", "y/M/d H:mm X"),
+    (r"^[0-9]{4}/[0-9]{1,2}/[0-9]{1,2} [0-9]{1,2}:[0-9]{2}:[0-9]{2}$", "", "y/M/d H:mm:ss X"),
     (r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$", "", "M/d/y X"),
     (r"^[A-Z][a-z]{2} [0-9]{1,2},? [0-9]{4}$", ",", "MMM d y X"),
     (r"^[0-9]{1,2} [A-Z][a-z]{2} [0-9]{4}$", "", "d MMM y X"),
+    (r"^[A-Z][a-z]{2} [0-9]{1,2},? [0-9]{4} [0-9]{1,2}:[0-9]{2}:[0-9]{2}$", ",", "MMM d y H:mm:ss X"),
     (
         r"^[A-Z][a-z]{2}, [0-9]{1,2} [A-Z][a-z]{2} [0-9]{4} [0-9:]{8} GMT$",
         r"^[A-Za-z]{3}, | GMT$",
         "d MMM y HH:mm:ss X",
     ),
+    (
+        r"^[A-Z][a-z]{2} [A-Z][a-z]{2} [0-9]{1,2} [0-9]{4} [0-9:]{8} GMT\+0000$",
+        r"^[A-Za-z]{3} | GMT\+0000$",
+        "MMM d y HH:mm:ss X",
+    ),
 ]
+YEAR_FIRST = [f for f in OTHER_FORMATS if f[2].startswith("y")]
 
 
 def _in_utc(text: Column) -> Column:
@@ -61,11 +71,11 @@ def _short_iso(text: Column) -> Column:
         .when(text.rlike("^.{4}-[0-9]{2}$"), F.concat(text, F.lit("-01"), midnight).try_cast("timestamp"))
         .when(text.rlike("^.{4}$"), F.concat(text, F.lit("-01-01"), midnight).try_cast("timestamp"))
     )
-    return _by_pattern(parsed, text, OTHER_FORMATS[:1])
+    return _by_pattern(parsed, text, YEAR_FIRST)
 
 
 def _other(text: Column) -> Column:
-    return _by_pattern(F, text, OTHER_FORMATS[1:])
+    return _by_pattern(F, text, [f for f in OTHER_FORMATS if f not in YEAR_FIRST])
 
 
 def _by_pattern(cases, text: Column, formats: list[tuple[str, str, str]]) -> Column:

@@ -193,3 +193,19 @@ def pacing_audit(requests: DataFrame) -> DataFrame:
         interval.alias("min_interval_ms"),
         F.coalesce(F.greatest(interval - gap, F.lit(0.0)), F.lit(0.0)).alias("wait_ms"),
     )
+
+
+def attempts(requests: DataFrame) -> DataFrame:
+    """Adds ``attempt``: a retryable request's place in its row of failures, from 1; 0 for others.
+
+    A row of failures is within a run and source, in ``seq`` order; anything else ends it.
+    """
+    failed = F.col("outcome") == "retryable"
+    counted = running(
+        requests, ["run_id", "source"], "seq", {"_failures": Running("sum", failed.cast("bigint"))}
+    )
+    # At a request that did not fail, the failures so far are those of earlier rows.
+    earlier = {"_earlier": Running("max", F.when(~failed, F.col("_failures")))}
+    marked = running(counted, ["run_id", "source"], "seq", earlier)
+    attempt = F.when(failed, F.col("_failures") - F.coalesce("_earlier", F.lit(0))).otherwise(0)
+    return marked.withColumn("attempt", attempt).drop("_failures", "_earlier")

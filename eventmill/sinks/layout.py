@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from eventmill.session import configure
 from eventmill.sinks.tables import Tables, current_layout
 
 _AUTO_BUCKETED_SCAN = "spark.sql.sources.bucketing.autoBucketedScan.enabled"
@@ -47,18 +48,16 @@ def compact_events(spark: SparkSession, tables: Tables) -> str:
     shadow = f"{tables.database}.compacted_{uuid.uuid4().hex[:12]}"
     # One task reads one bucket and writes it back: no shuffle.  Left to itself the planner
     # reads file by file, as it sees no join or aggregate that needs the buckets.
-    auto = spark.conf.get(_AUTO_BUCKETED_SCAN)
-    spark.conf.set(_AUTO_BUCKETED_SCAN, "false")
-    try:
-        (
-            spark.table(tables.events)
-            .write.bucketBy(buckets, "id")
-            .sortBy("id")
-            .option("path", location)
-            .saveAsTable(shadow)
-        )
-    finally:
-        spark.conf.set(_AUTO_BUCKETED_SCAN, auto)
+    # A session of its own, as the setting would hold for whatever else runs in the caller's.
+    own = configure(spark.newSession())
+    own.conf.set(_AUTO_BUCKETED_SCAN, "false")
+    (
+        own.table(tables.events)
+        .write.bucketBy(buckets, "id")
+        .sortBy("id")
+        .option("path", location)
+        .saveAsTable(shadow)
+    )
     version = current_layout(spark, tables)[1] + 1
     spark.sql(f"INSERT INTO {tables.layouts} VALUES ('{folder}', {version})")
     spark.sql(f"ALTER TABLE {tables.events} SET LOCATION '{location}'")

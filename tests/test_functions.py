@@ -223,3 +223,11 @@ def test_cursor_that_is_none(spark, bad):
     out = one(spark, cursors.decode_cursor(F.lit(bad)))
     assert (out["id"], out["exp"]) == (None, None)
     assert one(spark, cursors.cursor_expired(F.lit(bad), F.lit(1))) is None
+
+
+def test_more_date_texts(spark):
+    texts = ["Feb 1, 2024 12:00:00", "Feb 1 2024 12:00:00", "2024/02/01 12:00", "2024/2/1 12:00:00",
+             "Thu Feb 01 2024 12:00:00 GMT+0000"]
+    assert [one(spark, F.unix_millis(timestamps.parse_text(F.lit(t)))) for t in texts] == [1706788800000] * len(texts)
+    assert one(spark, F.unix_millis(timestamps.parse_text(F.lit("2024-2-1")))) == 1706745600000
+    assert one(spark, timestamps.parse_text(F.lit("2024-13-1"))) is None

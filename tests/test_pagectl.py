@@ -178,3 +178,12 @@ def test_pacing(spark):
 def test_page_counters(spark):
     row = reports.page_counters(pages(spark, [2, 0, 3, 0])).first()
     assert (row["pages"], row["empty_pages"], row["events"]) == (4, 2, 5)
+
+
+def test_attempts_count_failures_in_a_row(spark):
+    rows = [("r", "feed", s, o) for s, o in [(1, "retryable"), (5, "retryable"), (9, "ok"), (9000, "retryable")]]
+    rows += [("r", "events", s, "retryable") for s in (0, 4096, 8192)]
+    out = pagectl.attempts(spark.createDataFrame(rows, "run_id string, source string, seq bigint, outcome string"))
+    got = {(r["source"], r["seq"]): r["attempt"] for r in out.collect()}
+    assert [got["feed", s] for s in (1, 5, 9, 9000)] == [1, 2, 0, 1]
+    assert [got["events", s] for s in (0, 4096, 8192)] == [1, 2, 3]

@@ -185,3 +185,15 @@ def test_split_is_whole(spark):
     bad = rejected(rows).orderBy("pos").collect()
     assert [(r["pos"], r["reason"]) for r in bad] == [(1, "no_id"), (2, "ts_range")]
     assert json.loads(bad[0]["raw"]) == {"x": 1}
+
+
+def test_rejected_sessions(spark):
+    good = json.dumps({"data": [{"id": "s1", "eventCount": "x"}, {"userId": "u"}, 7]})
+    pages = log(spark, [page(0, good), page(1, good[:-3]), page(2, "nonsense"), page(3, good, status=500)])
+    rows = sessions.read_sessions(pages).collect()
+    assert [(r["seq"], r["id"], r["eventCount"]) for r in rows] == [(0, "s1", None)]
+    out = sessions.rejected_sessions(pages).orderBy("seq", "pos").collect()
+    assert [(r["seq"], r["pos"], r["reason"]) for r in out] == [
+        (0, 1, "no_id"), (0, 2, "bad_type"), (1, None, "bad_json"), (2, None, "bad_json"),
+    ]
+    assert out[2]["raw"] == good[:-3]

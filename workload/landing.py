@@ -12,6 +12,7 @@ and the pages are written as the fetching job would land them.  Four logs:
 ``dirty``     events and pages that cannot be loaded among those that can.
 ``requests``  one request per event, with every kind of response.
 ``sessions``  pages of session records.
+``odd_sessions``  session pages with torn bodies and records that are no sessions.
 """
 
 from __future__ import annotations
@@ -299,6 +300,26 @@ def _sessions(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     ]
 
 
+def _odd_sessions(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """A page per event: two sessions, or a torn body, odd records, or no array."""
+    eid = F.col("event_id").cast("string")
+    good = F.concat(F.lit('{"id":"s-'), eid, F.lit('","eventCount":1}'))
+    kind = F.col("event_id") % 10
+    body = (
+        F.when(kind == 1, F.concat(F.lit('{"data":['), good))
+        .when(kind == 2, F.concat(F.lit('{"data":['), good, F.lit(',{"userId":"u"}]}')))
+        .when(kind == 3, F.concat(F.lit('{"data":['), eid, F.lit(","), good, F.lit("]}")))
+        .when(kind == 4, F.concat(F.lit("nonsense "), eid))
+        .when(kind == 5, F.concat(F.lit('{"data":'), good, F.lit("}")))
+        .otherwise(F.concat(F.lit('{"data":['), good, F.lit(","), good, F.lit("]}")))
+    )
+    ev = events(spark, sf_dir).withColumnRenamed("at", "requested_at")
+    return [
+        _log(ev, run_id=F.lit("run-1"), source=F.lit("events"), seq=F.col("event_id"),
+             path=F.lit("/api/v1/sessions"), body=body)
+    ]
+
+
 _LOGS = {
     "arrivals": _arrivals,
     "control": _control,
@@ -308,6 +329,7 @@ _LOGS = {
     "dirty": _dirty,
     "requests": _requests,
     "sessions": _sessions,
+    "odd_sessions": _odd_sessions,
 }
 
 

@@ -171,6 +171,17 @@ FROM e LEFT JOIN c ON e.p = c.p AND e.i = c.i""",
 SELECT 's-' || user_id || '-' || strftime(ts, '%Y-%m-%d') AS id, CAST(user_id AS VARCHAR) AS "userId",
        count(*) AS "eventCount", CAST(NULL AS DOUBLE) AS duration
 FROM events GROUP BY user_id, strftime(ts, '%Y-%m-%d')""",
+    "session_rejects": """
+SELECT 'run-1' AS run_id, 'events' AS source, event_id AS seq,
+       CASE event_id % 10 WHEN 2 THEN 1 WHEN 3 THEN 0 END AS pos,
+       CASE event_id % 10 WHEN 2 THEN 'no_id' WHEN 3 THEN 'bad_type' ELSE 'bad_json' END AS reason,
+       CASE event_id % 10
+         WHEN 1 THEN '{"data":[{"id":"s-' || event_id || '","eventCount":1}'
+         WHEN 2 THEN '{"userId":"u"}'
+         WHEN 3 THEN CAST(event_id AS VARCHAR)
+         WHEN 4 THEN 'nonsense ' || event_id
+         ELSE '{"data":{"id":"s-' || event_id || '","eventCount":1}}' END AS raw
+FROM events WHERE event_id % 10 BETWEEN 1 AND 5""",
     "target_scan": _with(_WIN, f"SELECT {_SLIM} FROM win"),
     "checkpoint_lookup": """
 SELECT 'c-' || event_id AS cursor, event_id + 1 AS events_saved FROM events
@@ -192,9 +203,14 @@ UNION ALL SELECT run_id, seq, NULL, NULL, NULL, NULL, NULL FROM ctl"""),
     "path_buckets": _with(_REQ, "SELECT bucket, count(*) AS requests FROM rq GROUP BY bucket"),
     "header_ints": _with(_REQ, "SELECT seq, rate_limit, rate_remaining, rate_reset FROM rq"),
     "backoff_schedule": _with(_REQ, """
-SELECT seq, least(CAST(1000 * pow(2, seq % 20) AS BIGINT), 10000) AS capped_ms,
-       CAST(1000 * pow(2, seq % 20) AS BIGINT) AS uncapped_ms, 5000 * (seq % 20 + 1) AS run_retry_ms
-FROM cls WHERE outcome = 'retryable'"""),
+SELECT seq, attempt, least(CAST(1000 * pow(2, attempt - 1) AS BIGINT), 10000) AS capped_ms,
+       CAST(1000 * pow(2, attempt - 1) AS BIGINT) AS uncapped_ms, 5000 * attempt AS run_retry_ms
+FROM (
+  SELECT seq, outcome, row_number() OVER (PARTITION BY run_id, source, streak ORDER BY seq)
+                       - CASE WHEN streak > 0 THEN 1 ELSE 0 END AS attempt
+  FROM (SELECT *, sum(CASE WHEN outcome = 'retryable' THEN 0 ELSE 1 END)
+                    OVER (PARTITION BY run_id, source ORDER BY seq) AS streak FROM cls))
+WHERE outcome = 'retryable'"""),
     "raw_json": _with(_WIN, "SELECT id, session_id, type FROM win"),
     "copy_text": r"""
 SELECT doc_id || chr(9) || lang || chr(9) ||

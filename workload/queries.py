@@ -140,6 +140,11 @@ def session_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("id", "userId", "eventCount", "duration")
 
 
+def session_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whatever is no session in a log of torn bodies and odd records."""
+    return sessions.rejected_sessions(landed(spark, sf_dir, "odd_sessions"))
+
+
 def target_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return slim(loaded(spark, sf_dir))
 
@@ -201,11 +206,12 @@ def header_ints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def backoff_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Expected waits of retryable requests, counted as attempts within their user's run."""
-    failed = requests(spark, sf_dir).where(F.col("outcome") == "retryable")
-    attempt = F.pmod("seq", F.lit(20)) + 1
-    return failed.select(
+    """Expected waits of retryable requests, by the failures in a row of their run and source."""
+    attempted = pagectl.attempts(requests(spark, sf_dir))
+    attempt = F.col("attempt")
+    return attempted.where(F.col("outcome") == "retryable").select(
         "seq",
+        "attempt",
         text.backoff_ms(attempt).alias("capped_ms"),
         text.backoff_ms(attempt, None).alias("uncapped_ms"),
         text.run_retry_ms(attempt).alias("run_retry_ms"),
@@ -569,6 +575,7 @@ QUERIES: dict[str, Query] = {
     "unnest_arrays": unnest_arrays,
     "time_range": time_range,
     "session_pages": session_pages,
+    "session_rejects": session_rejects,
     "target_scan": target_scan,
     "checkpoint_lookup": checkpoint_lookup,
     "normalize_timestamp": normalize_timestamp,
