@@ -2,9 +2,9 @@
 
 Lines are normalised (lower case, one space between words) and hashed.  For each host, here the
 document's source, distinct texts that hold a line are counted; exact copies count once, as they
-are another operator's work.  A line that more than ``max_share`` of a host's texts hold, and at
-least ``min_texts`` of them, is removed from all but one of them (the one with the smallest
-digest), so that no content leaves the corpus altogether.  A document that loses more than
+are another operator's work.  A line that more than ``max_share`` of a host's texts hold, or more
+than ``most_texts`` of them however large the host, and at least ``min_texts``, is removed from all
+but one of them (the one with the smallest digest), so that no content leaves the corpus altogether.  A document that loses more than
 ``max_lost`` of its words is depleted and rejected.
 
 The verdict depends on host and text alone, so rows are joined by host and digest and no row
@@ -82,7 +82,7 @@ def base_columns(text: Column) -> Column:
 
 
 def removed_lines(
-    texts: DataFrame, *, max_share: float = 0.25, min_texts: int = 20
+    texts: DataFrame, *, max_share: float = 0.25, min_texts: int = 20, most_texts: int = 30
 ) -> DataFrame:
     """For each host and digest with lines to remove: their positions ``at`` and words ``lost``.
 
@@ -102,7 +102,7 @@ def removed_lines(
         .filter(F.col("held_by") >= min_texts)
         .alias("l")
         .join(of_host.alias("h"), F.expr("l.host <=> h.host"))
-        .filter(F.col("held_by") > max_share * F.col("texts"))
+        .filter(F.col("held_by") > F.least(max_share * F.col("texts"), F.lit(most_texts)))
         .select("l.host", "line", "keeper"),
         "frequent-lines",
     )
@@ -125,6 +125,7 @@ def judge(
     host: str = "source",
     max_share: float = 0.25,
     min_texts: int = 20,
+    most_texts: int = 30,
     max_lost: float = 0.7,
 ) -> DataFrame:
     """One row per document with the base counts, the verdict, the words lost and the struct ``row``.
@@ -139,7 +140,9 @@ def judge(
         F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")))).alias("digest"),
         F.struct("*").alias("row"),
     )
-    removed = removed_lines(whole.select("host", "digest", "text"), max_share=max_share, min_texts=min_texts)
+    removed = removed_lines(
+        whole.select("host", "digest", "text"), max_share=max_share, min_texts=min_texts, most_texts=most_texts
+    )
     return (
         whole.withColumn("base", base_columns(F.col("text")))
         .alias("d")

@@ -90,6 +90,23 @@ def test_frequent_lines_leave_all_but_one_document(spark):
     assert len(texts) == 31 and sum(t.startswith("Shared") for t in texts) == 1
 
 
+def test_lines_in_small_shares_of_a_large_host_are_removed(spark):
+    tenth, hundredth, rare = prose(901), prose(902, 6), prose(903, 5)
+
+    def text(i):
+        more = [line for line, step in ((tenth, 10), (hundredth, 100), (rare, 200)) if i % step == 0]
+        return "\n".join([prose(1000 + i, 60), *more])
+
+    d = docs(spark, [(i, text(i), "large") for i in range(4000)])
+    lost = {r["doc_id"]: r["n_lost_words"] for r in line_frequency.judge(d).collect()}
+    assert all(lost[i] == 0 for i in range(4000) if i % 10)
+    assert Counter(lost[i] for i in range(0, 4000, 10) if i % 100)[80] >= 359  # 10 %, all but one text
+    assert Counter(lost[i] for i in range(0, 4000, 100))[86] >= 38  # 1 %: 40 texts hold the line
+    texts = [r["text"] for r in line_frequency.clean(d).collect()]
+    counts = [sum(line in t.split("\n") for t in texts) for line in (tenth, hundredth, rare)]
+    assert len(texts) == 4000 and counts == [1, 1, 20]
+
+
 @pytest.mark.parametrize("text", ["a b c a b c", "x x x x", "a b c d", "a b c a b c a b", "", "one"])
 def test_repeated_words(spark, text):
     ws = text.split()
