@@ -1,6 +1,7 @@
 """License scan: phrases, and an exact containment join of text blocks with license notices.
 
-DataFrame functions only.  A block is a line, cut into overlapping windows where it is long.  It
+DataFrame functions only.  A block is a line, or the whole text with its line breaks as spaces, cut
+into overlapping windows where it is long; so a notice wrapped over lines stands in one block.  It
 meets a template when it holds at least ``threshold`` of the template's distinct words.  Words are
 ordered by their frequency in the corpus, rarest first, so that:
 
@@ -153,7 +154,7 @@ def contained(
 
     blocks = (
         texts.filter(has_rare)
-        .select("digest", F.explode(F.split("lines", "\\n")).alias("line"))
+        .select("digest", F.explode(F.array_union(F.split("lines", "\\n"), F.array(spaced(F.col("lines"))))).alias("line"))
         .filter(F.concat(F.lit(" "), "line", F.lit(" ")).rlike("\\x20(" + "|".join(rare) + ")\\x20"))
         .select("digest", F.explode(windows(F.col("line"))).alias("block"))
         .select("digest", ranked(F.col("block")).alias("block"))

@@ -191,6 +191,17 @@ def test_licenses(spark):
     assert got[5]["labels"] == ""
 
 
+@pytest.mark.parametrize("template", [1, 3, 5, 9])
+@pytest.mark.parametrize("before", [0, 25, 57])
+def test_wrapped_licenses(spark, template, before):
+    label, notice = licenses.TEMPLATES[template]
+    ws = notice.split()
+    wrapped = "\n".join(f" * {' '.join(ws[i : i + 8])}" for i in range(0, len(ws), 8))
+    text = f"{prose(1, before)}\n{wrapped}\n{prose(2, 200)}"
+    got = licenses.scan(docs(spark, [(1, text), (2, "\n".join(ws[: len(ws) // 2]))])).collect()
+    assert {r["doc_id"]: (label in r["labels"].split(","), r["score"]) for r in got} == {1: (True, 1.0), 2: (False, 0.0)}
+
+
 def test_mix_meets_targets_and_materialises_what_it_takes(spark):
     rng = random.Random(3)
     rows = [(i, prose(i, rng.randint(0, 200)), f"s{min(i % 9, 4)}") for i in range(300)] + [(None, "a b", None)]
