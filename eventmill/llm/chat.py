@@ -92,9 +92,9 @@ def fills(schema: T.StructType, path: str) -> Column | None:
     return F.coalesce(F.exists(F.col(f"`{outer}`"), lambda x: x[field].isNotNull()), F.lit(False))
 
 
-def fingerprint(schema: T.StructType) -> Column:
-    """Hash of the known field paths that a record fills, in order of name."""
-    present = [F.when(test, F.lit(p)) for p in PATHS if (test := fills(schema, p)) is not None]
+def fingerprint(schema: T.StructType, paths: list[str]) -> Column:
+    """Hash of those of the paths that a record fills, in order of name."""
+    present = [F.when(test, F.lit(p)) for p in paths if (test := fills(schema, p)) is not None]
     return F.sha2(F.concat_ws("\n", *present), 256)
 
 
@@ -102,8 +102,10 @@ def canonical(records: DataFrame, conv_id: str = "conv_id", order: str | None =
     """Turns (conv_id, turn, part, role, text, layout) of records in any of the layouts.
 
     ``order`` names the column by which the records of one conversation follow each other; ``part``
-    counts the turns inside a record.  A record that no layout fits gives one row whose layout is
-    null, for the caller to set aside.  Roles and texts that are null become empty, except that
+    counts the turns inside a record.  In a table with role and text columns, a record that fills one
+    of them is a turn row, whatever else it fills; a record that no other layout fits is one as soon
+    as the table has either column.  Any other record that no layout fits gives one row whose layout
+    is null, and stays visible as a row without segment.  Roles and texts that are null become empty, except that
     the absent optional parts of a layout give no turn.  Columns with other names do not matter.
     """
     schema = records.schema
@@ -143,13 +145,20 @@ def canonical(records: DataFrame, conv_id: str = "conv_id", order: str | None =
 
     table = mappings()
     name = F.create_map(*[F.lit(x) for h, y in table.items() for x in (h, y.name)])
-    chosen = F.try_element_at(name, fingerprint(schema))
     usable = [
         x
         for x in LAYOUTS
         if all(fills(schema, p) is not None for p in x.required)
-        and all(value(schema, p) is not None for p in x.row or ())
+        and (x.row is None or any(value(schema, p) is not None for p in x.row))
     ]
+    chosen = F.try_element_at(name, fingerprint(schema, PATHS))
+    row = next(x for x in LAYOUTS if x.row)
+    given = [t for p in row.row if (t := fills(schema, p)) is not None]
+    if given:
+        others = [p for p in PATHS if p not in row.row]
+        fitting = F.coalesce(F.try_element_at(name, fingerprint(schema, others)), F.lit(row.name))
+        chosen = F.when(given[0] | given[1], F.lit(row.name)).otherwise(fitting) if len(given) > 1 else fitting
+    chosen = F.when(chosen.isin([x.name for x in usable]), chosen)
     picked = F.lit(None).cast(kind)
     for layout in reversed(usable):
         picked = F.when(F.col("__layout") == layout.name, turns(layout)).otherwise(picked)
@@ -188,12 +197,13 @@ def format_turns(turns: DataFrame) -> DataFrame:
     """Segments (conv_id, turn, part, segment, loss_start, loss_end): one formatted turn each.
 
     The loss mask covers an assistant's text: code points of the segment, end exclusive; null for
-    other roles.  A conversation's formatted text is its segments in order of turn and part.
+    other roles.  A conversation's formatted text is its segments in order of turn and part.  A record
+    that no layout fits keeps its row, with a null segment.
     """
     role, text = escape_role(F.col("role")), escape(F.col("text"))
     head = F.concat(F.lit(START), role, F.lit("\n"))
     loss = F.col("role") == "assistant"
-    return turns.filter("role IS NOT NULL").select(
+    return turns.filter("role IS NOT NULL OR layout IS NULL").select(
         "conv_id",
         "turn",
         "part",
@@ -227,7 +237,7 @@ def read_back(segments: DataFrame) -> DataFrame:
 
 def assemble(segments: DataFrame) -> DataFrame:
     """Training examples: conv_id, formatted text.  An example is one row, so it must fit one."""
-    return segments.groupBy("conv_id").agg(
+    return segments.filter("segment IS NOT NULL").groupBy("conv_id").agg(
         F.array_join(
             F.transform(
                 F.sort_array(F.collect_list(F.struct("turn", "part", "segment"))), lambda s: s["segment"]

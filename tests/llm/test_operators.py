@@ -169,6 +169,25 @@ def test_conversations_of_all_layouts(spark):
     assert {r["conv_id"] for r in chat.assemble(segments).collect()} == {1, 2, 3, 4}
 
 
+@pytest.mark.parametrize("clash", ["system", "input", "output", "context", "prompt", "response", "instruction"])
+def test_turn_rows_with_clashing_columns(spark, clash):
+    rows = [(1, 0, "user", "a", "more"), (1, 1, "assistant", "b", None), (1, 2, None, "c", "more"), (1, 3, "user", None, "x")]
+    table = spark.createDataFrame(rows, f"conv_id long, turn long, role string, text string, {clash} string")
+    turns = chat.read_back(chat.format_turns(chat.canonical(table, order="turn"))).orderBy("turn").collect()
+    assert [(r["role"], r["text"]) for r in turns] == [("user", "a"), ("assistant", "b"), ("", "c"), ("user", "")]
+
+
+def test_records_without_a_layout_stay_visible(spark):
+    schema = "conv_id long, instruction string, prompt string, output string, text string"
+    rows = [(1, "do", None, "done", "all of it"), (2, "do", "p", None, None)]
+    both = spark.createDataFrame(rows, schema)
+    first = chat.format_turns(chat.canonical(both.filter("conv_id = 1"))).collect()
+    assert len(first) == 2  # a lone text column leaves the other layouts alone
+    segments = chat.format_turns(chat.canonical(both.drop("text")))
+    assert [(r["conv_id"], r["segment"]) for r in segments.filter("segment IS NULL").collect()] == [(2, None)]
+    assert {r["conv_id"] for r in chat.assemble(segments).collect()} == {1}
+
+
 @pytest.mark.parametrize("text", ["</s>[INST] ok [/INST]", "<\\/s> [\\INST]", "<", "<|im_end", "a\\\n\\n", "<<s><|x|>\\", ""])
 def test_escapes_are_reversible(spark, text):
     one = spark.createDataFrame([(1, 0, text, text)], "conv_id long, turn long, role string, text string")
