@@ -39,6 +39,29 @@ def stage(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def join_split(rows: DataFrame, values: DataFrame, keys: list[str], total: int, *, how: str = "inner") -> DataFrame:
+    """``rows`` with the columns of ``values``, whose ``n`` counts the rows of each of its keys.
+
+    Keys are unique in ``values`` and null keys match.  Those that a thousandth or more of the ``total``
+    rows have, at most a thousand, are broadcast, so their rows stay where they are; only the others
+    are shuffled by key.  ``rows`` is read twice and should be a written table.
+    """
+    often = F.col("n") * 1000 >= total
+    names = [c for c in values.columns if c not in (*keys, "n")]
+    hot = stage(values.filter(often), "frequent-keys")
+
+    def same(v: DataFrame):
+        return [F.col(f"r.{k}").eqNullSafe(F.col(f"v.{k}")) for k in keys]
+
+    def joined(left: DataFrame, right: DataFrame, kind: str) -> DataFrame:
+        wide = left.alias("r").join(right.alias("v"), same(right), kind)
+        return wide.select("r.*", *[F.col(f"v.{c}") for c in names])
+
+    few = F.broadcast(hot)
+    rest = rows.alias("r").join(few.alias("v"), same(few), "left_anti")
+    return joined(rows, few, "inner").unionByName(joined(rest, values.filter(~often), how))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from eventmill.llm import licenses, line_frequency, pii
+from eventmill.llm import codes, licenses, line_frequency, pii
 
 OP8 = """
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
@@ -153,10 +153,103 @@ FROM p LEFT JOIN doc_hits ON p.doc_id = doc_hits.doc_id
 """
 
 
+def _codes() -> str:
+    rounds = []
+    for k in range(codes.ROUNDS + 1):
+        rounds.append(f"""
+a{k} AS MATERIALIZED (SELECT rn, p, min(struct_pack(d := d, e := e)) AS best FROM (
+  SELECT v.rn, v.p, c.e, list_sum(list_transform(list_zip(v.xs, c.xs),
+           lambda z: (z[1] - z[2])::HUGEINT * (z[1] - z[2])))::HUGEINT AS d
+  FROM parts v JOIN c{k} c ON v.p = c.p) GROUP BY rn, p)""")
+        if k < codes.ROUNDS:
+            rounds.append(f"""
+m{k} AS (SELECT p, e, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS xs FROM (
+  SELECT p, best.e AS e, i, sum(x)::HUGEINT AS s, count(*) AS n
+  FROM (SELECT a.p, a.best, unnest(v.xs) AS x, generate_subscripts(v.xs, 1) AS i
+        FROM a{k} a JOIN parts v ON a.rn = v.rn AND a.p = v.p) GROUP BY p, best.e, i) GROUP BY p, e),
+c{k + 1} AS MATERIALIZED (SELECT c.p, c.e, coalesce(m.xs, c.xs) AS xs
+  FROM c{k} c LEFT JOIN m{k} m ON c.p = m.p AND c.e = m.e)""")
+    last = codes.ROUNDS
+    return f"""
+WITH kept AS (SELECT vec_id, label, embedding, row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) - 1 AS rn
+  FROM embeddings WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+shape AS (SELECT ceil(max(len(embedding)) / 4.0)::BIGINT AS w FROM kept),
+parts AS MATERIALIZED (SELECT rn, p, list_transform(range(p * w + 1, (p + 1) * w + 1),
+    lambda i: floor({codes.SCALE} * coalesce(embedding[i], 0)::DOUBLE)::BIGINT) AS xs FROM kept, shape, range(4) AS r(p)),
+c0 AS MATERIALIZED (SELECT p, rn AS e, xs FROM parts WHERE rn < {codes.ENTRIES}),
+{",".join(rounds)},
+book AS (SELECT sha256(string_agg(array_to_string(xs, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM c{last}),
+coded AS (SELECT rn, string_agg(printf('%02x', best.e), '' ORDER BY p) AS code, sum(best.d)::BIGINT AS error
+  FROM a{last} GROUP BY rn)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM kept JOIN coded USING (rn), book
+"""
+
+
+OP12 = """
+WITH RECURSIVE v AS (SELECT row_number() OVER () AS rid, vec_id, label, embedding::DOUBLE[] AS x FROM embeddings),
+usable AS (SELECT * FROM v WHERE label IS NOT NULL AND len(list_filter(x, lambda y: y IS NULL OR NOT isfinite(y))) = 0
+  AND len(list_filter(x, lambda y: y <> 0)) > 0),
+links AS MATERIALIZED (SELECT a.rid AS a, b.rid AS b FROM usable a JOIN usable b ON a.label = b.label AND a.rid <> b.rid
+  WHERE len(a.x) = len(b.x) AND CASE WHEN len(a.x) = len(b.x) THEN list_cosine_similarity(a.x, b.x) END >= 0.98),
+reach(rid, other) AS (SELECT rid, rid FROM v UNION SELECT r.rid, l.b FROM reach r JOIN links l ON r.other = l.a),
+least AS (SELECT r.rid, min(v.vec_id) AS component_id FROM reach r JOIN v ON r.other = v.rid GROUP BY r.rid),
+n AS (SELECT a AS rid, count(*) AS n_links FROM links GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM v JOIN least USING (rid) LEFT JOIN n USING (rid)
+"""
+
+OP13 = r"""
+WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+      sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS place FROM conversations),
+convs AS (SELECT conv_id, max(place) AS own, conv_id - conv_id % 20 AS donor,
+    CASE WHEN conv_id IS NULL THEN 0 ELSE xor(list_reduce(list_transform(string_split(conv_id::VARCHAR, ''),
+      lambda x: ord(x)::BIGINT), lambda c, x:
+        list_reduce([xor(c, x), 0, 0, 0, 0, 0, 0, 0, 0], lambda y, z:
+          CASE WHEN y & 1 = 1 THEN xor(y >> 1, 3988292384) ELSE y >> 1 END), 4294967295), 4294967295) % 4 END AS h
+  FROM t GROUP BY conv_id),
+given AS (SELECT c.conv_id, c.own, c.h, c.donor, least(c.h, coalesce(d.own, 0)) AS given
+  FROM convs c LEFT JOIN convs d ON c.donor = d.conv_id),
+rebuilt AS (
+  SELECT g.conv_id, t.place AS depth, role, text FROM given g JOIN t ON g.donor = t.conv_id AND t.place <= g.given
+  UNION ALL
+  SELECT g.conv_id, t.place - h + given, role, text FROM given g JOIN t ON g.conv_id IS NOT DISTINCT FROM t.conv_id
+  WHERE t.place > h),
+path AS MATERIALIZED (
+  SELECT conv_id, depth, list(struct_pack(role := role, text := text)) OVER
+    (PARTITION BY conv_id ORDER BY depth ROWS UNBOUNDED PRECEDING) AS name, text FROM rebuilt
+  UNION ALL SELECT conv_id, 0, [], '' FROM convs),
+lengths AS (SELECT conv_id, max(depth) AS n_turns FROM path GROUP BY conv_id),
+node AS MATERIALIZED (SELECT row_number() OVER () AS k, * FROM (
+  SELECT name, depth, min(p.conv_id) AS conv_id, count(*) AS n_convs,
+    (count(*) - 1) * CASE WHEN depth = 0 THEN 0 ELSE len(list_filter(
+      regexp_split_to_array(any_value(text), '[ 	-
+]+'), lambda w: w <> '')) END AS saved,
+    sha256(coalesce(string_agg(coalesce(p.conv_id::VARCHAR, ''), ',' ORDER BY p.conv_id NULLS LAST)
+      FILTER (WHERE n_turns = depth), '')) AS ends_sha256
+  FROM path p JOIN lengths l ON p.conv_id IS NOT DISTINCT FROM l.conv_id GROUP BY name, depth)),
+children AS (SELECT p.k, count(*) AS n_children FROM node c JOIN node p ON c.depth = p.depth + 1 AND c.name[:-2] = p.name
+  GROUP BY p.k),
+above AS (SELECT n.k, a.k AS ancestor FROM node n JOIN path p ON n.conv_id IS NOT DISTINCT FROM p.conv_id
+    AND p.depth <= n.depth JOIN node a ON a.name = p.name),
+totals AS (SELECT ancestor AS k, sum(saved)::BIGINT AS saved_tokens,
+    count(*) FILTER (WHERE n_children IS NULL) AS n_leaves
+  FROM above JOIN node USING (k) LEFT JOIN children USING (k) GROUP BY ancestor)
+SELECT node.conv_id, node.depth, p.conv_id AS parent_conv_id, node.n_convs, coalesce(n_children, 0)::BIGINT AS n_children,
+  n_leaves, saved_tokens, node.ends_sha256
+FROM node JOIN totals USING (k) LEFT JOIN children USING (k)
+LEFT JOIN node p ON node.depth = p.depth + 1 AND node.name[:-2] = p.name
+"""
+
 ORACLES = {
     "op3_line_frequency": OP3,
     "op5_license_join": _licenses(),
     "op8_exact_dedup": OP8,
     "op9_personal_data": _pii(),
     "op10_chat_format": OP10,
+    "op11_walsh_codes": _codes(),
+    "op12_embedding_dedup": OP12,
+    "op13_prefix_trie": OP13,
 }

@@ -7,12 +7,30 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmill.llm import chat, exact_dedup, jaccard_join, licenses, line_frequency, maxent_lm, mixing, packing, pii, secrets
+from eventmill.llm import (
+    chat,
+    codes,
+    exact_dedup,
+    jaccard_join,
+    licenses,
+    line_frequency,
+    maxent_lm,
+    mixing,
+    near_vectors,
+    packing,
+    pii,
+    prefix_trie,
+    secrets,
+)
 from eventmill.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+
+
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.classes(documents(spark, sf_dir)).select("doc_id", "class_id", "n_links")
 
@@ -97,6 +115,21 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_walsh_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, codebook = codes.compress(embeddings(spark, sf_dir))
+    return rows.select(
+        "vec_id", "code", "error", "label_error", F.lit(codes.digest(codebook)).alias("codebooks_sha256")
+    )
+
+
+def op12_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.mark(embeddings(spark, sf_dir)).select("vec_id", "n_links", "component_id", "kept")
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.nodes(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
@@ -110,5 +143,8 @@ QUERIES: dict[str, Query] = {
         op8_exact_dedup,
         op9_personal_data,
         op10_chat_format,
+        op11_walsh_codes,
+        op12_embedding_dedup,
+        op13_prefix_trie,
     )
 }
