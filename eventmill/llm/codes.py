@@ -28,7 +28,7 @@ PARTS = 4
 ENTRIES = 256
 ROUNDS = 4
 SCALE = 1024
-BLOCK = 1024
+BLOCK = 256
 
 Codebook = list[np.ndarray]  # for each part: entries x components
 
@@ -77,20 +77,27 @@ def nearest(parts: np.ndarray, entries: np.ndarray) -> tuple[np.ndarray, np.ndar
     distance = np.zeros(len(parts), dtype=parts.dtype)
     e = transform(entries)
     n = e.shape[1]
-    lead = max(1, n // 4)
+    lead = max(1, n // 8)
     for a in range(0, len(parts), BLOCK):
         p = transform(parts[a : a + BLOCK])
         sums = np.zeros((len(p), len(e)), dtype=p.dtype)
-        for j in range(lead):
-            sums += (p[:, j, None] - e[None, :, j]) ** 2
-        guess = sums.argmin(axis=1)
-        limit = ((p - e[guess]) ** 2).sum(axis=1)
-        row, entry = np.nonzero(sums <= limit[:, None])
+        limit = None
+        for start in range(0, n, lead):
+            for j in range(start, start + lead):
+                difference = p[:, j, None] - e[None, :, j]
+                difference *= difference
+                sums += difference
+            if limit is None:
+                limit = ((p - e[sums.argmin(axis=1)]) ** 2).sum(axis=1)
+            open_ = sums <= limit[:, None]
+            if np.count_nonzero(open_) * 16 <= open_.size:  # few: go on with these pairs alone
+                break
+        row, entry = np.nonzero(open_)
         total = sums[row, entry]
-        for j in range(lead, n, lead):
+        for j in range(start + lead, n, lead):
             total = total + ((p[row, j : j + lead] - e[entry, j : j + lead]) ** 2).sum(axis=1)
-            open_ = total <= limit[row]
-            row, entry, total = row[open_], entry[open_], total[open_]
+            left = total <= limit[row]
+            row, entry, total = row[left], entry[left], total[left]
         first = np.flatnonzero(np.diff(row, prepend=-1))
         best = np.minimum.reduceat(total, first)
         tied = total == best[row]  # every row has its guess at least, so rows are 0, 1, 2 ...
