@@ -25,9 +25,19 @@ EVENTS = (
 CHECKPOINTS = "id INT, cursor STRING, events_saved BIGINT, updated_at TIMESTAMP, version BIGINT"
 REJECTS = (
     "run_id STRING, source STRING, seq BIGINT, pos INT, reason STRING, raw STRING, "
-    "ingested_at TIMESTAMP, file STRING"
+    "ingested_at TIMESTAMP, file STRING, raw_hash BIGINT"
 )
 
+# Two rows a load: `open` before its append, `done` after it, with the rows the table then holds.
+# `ids` were added to a generation of the id filter.
+LEDGER = (
+    "version BIGINT, state STRING, batch STRING, inserted BIGINT, total BIGINT, "
+    "generation INT, ids BIGINT"
+)
+
+# Bloom filter of the event table's ids.
+ID_FILTERS = "slot BIGINT, bits BIGINT"
+
 # Where the event table's files are: the row with the highest version names the folder.
 LAYOUTS = "folder STRING, version BIGINT"
 

@@ -331,6 +331,9 @@ FROM win GROUP BY 1"""),
     "layout_by_session": _with(_WIN, "SELECT session_id, count(*) AS events FROM win GROUP BY 1"),
     "compacted_table": _with(_LATE_FIRST, f"SELECT {_SLIM} FROM win"),
     "stream_ingest": _with(_WIN, f"SELECT {_SLIM} FROM win"),
+    "stream_late_copies": _with(_LATE_FIRST, f"""
+SELECT {_SLIM}, count(*) OVER () AS events_saved
+FROM (SELECT * REPLACE (CASE WHEN run_id <> 'run-3' AND ts_defaulted THEN 1709337600000 ELSE ms END AS ms) FROM win)"""),
     "stream_resume": _with(_WIN, """
 SELECT run_id, count(*) AS events, (SELECT count(*) FROM win) AS events_saved FROM win GROUP BY 1"""),
     "run_job": _with(_EV, "SELECT id FROM ev"),

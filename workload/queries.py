@@ -516,6 +516,18 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return slim(spark.table(t.events))
 
 
+def stream_late_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Late copies are in the table already; a stream with an id filter may only add what it lacks."""
+    t = fresh_tables(spark)
+    late = landed(spark, sf_dir, "arrivals").where(F.col("run_id") == "run-3")
+    load.load_pages(spark, late, t, INGEST_TS)
+    pages = page_log.stream_pages(spark, land(spark, sf_dir, "arrivals"), max_files=16)
+    run_stream(spark, pages, t, f"{t.location}/offsets", LATER_TS, filter_from=1).awaitTermination()
+    spark.catalog.refreshTable(t.events)
+    saved = load.load_checkpoint(spark, t).select("events_saved").scalar()
+    return slim(spark.table(t.events)).withColumn("events_saved", saved)
+
+
 def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Run, run again on the same offsets, then replay everything on new ones."""
     t = fresh_tables(spark)
@@ -627,6 +639,7 @@ QUERIES: dict[str, Query] = {
     "layout_by_session": layout_by_session,
     "compacted_table": compacted_table,
     "stream_ingest": stream_ingest,
+    "stream_late_copies": stream_late_copies,
     "stream_resume": stream_resume,
     "run_job": run_job,
     "short_circuit": short_circuit,
