@@ -7,11 +7,18 @@ run and source is ``seq``.  Only decoded pages take part: failed requests never
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from eventmill.functions.text import path_bucket
-from eventmill.operators.running import Running, running
+from eventmill.operators.running import (
+    CHUNK,
+    Running,
+    carried_states,
+    chunk_states,
+    numbered,
+    running,
+    same_keys,
+)
 
 RUN = ["run_id", "source"]
 
@@ -31,44 +38,57 @@ def is_terminal() -> Column:
 
 def number_pages(headers: DataFrame) -> DataFrame:
     """Adds ``page_no`` (1-based) and ``empty_streak``, the empty pages in a row ending here."""
-    # The last non-empty page needs its page number, which is itself a running count.
-    numbered = running(headers, RUN, "seq", {"page_no": Running("sum", F.lit(1).cast("bigint"))})
-    last_full = Running("max", F.when(is_nonempty(), F.col("page_no")))
-    streaks = running(numbered, RUN, "seq", {"_last_full": last_full})
-    return streaks.withColumn(
-        "empty_streak", F.col("page_no") - F.coalesce("_last_full", F.lit(0))
-    ).drop("_last_full")
+    streak = F.col("row_no") - F.coalesce("_last_full", F.lit(0))
+    return (
+        numbered(headers, RUN, "seq", {"_last_full": is_nonempty()})
+        .withColumn("empty_streak", streak)
+        .withColumnRenamed("row_no", "page_no")
+        .drop("_last_full")
+    )
 
 
-def stop_points(headers: DataFrame, empty_limit: int = EMPTY_LIMIT) -> DataFrame:
+def stop_points(headers: DataFrame, empty_limit: int = EMPTY_LIMIT, chunk: int = CHUNK) -> DataFrame:
     """Per run and source the page it stops at, one row each: ``stop_seq`` and ``stop_reason``.
 
     A run that reaches neither rule has no ``stop_seq``.  When both fall on one page the empty
     guard is the reason, as it is tested first.
+
+    Chunks are summed up with their first stops: the first last page, the first long streak inside
+    the chunk, and the first ``empty_limit`` of the empty pages it begins with, one of which
+    completes the streak that earlier chunks may have begun.  So pages move twice, to be sorted and to
+    their chunk, and after that only summaries do.
     """
-    numbered = number_pages(headers)
-    empty_stop = F.min(F.when(F.col("empty_streak") >= empty_limit, F.col("seq")))
-    end_stop = F.min(F.when(is_terminal(), F.col("seq")))
-    return (
-        numbered.groupBy(*RUN)
-        .agg(empty_stop.alias("_empty"), end_stop.alias("_end"))
-        .select(
-            *RUN,
-            F.least("_empty", "_end").alias("stop_seq"),
-            F.when(F.col("_empty") <= F.coalesce("_end", "_empty"), "empty_pages")
-            .when(F.col("_end").isNotNull(), "end_of_data")
-            .alias("stop_reason"),
-        )
+    full = {"_full": is_nonempty()}
+    leading = F.col("_last__full").isNull()
+    inside = F.col("_n") - F.col("_last__full") >= empty_limit
+    _, totals = chunk_states(
+        headers, RUN, "seq", full, chunk,
+        _end=F.min(F.when(is_terminal(), F.col("seq"))),
+        _inner=F.min(F.when(inside, F.col("seq"))),
+        _leading=F.sort_array(F.collect_list(F.when(leading & (F.col("_n") <= empty_limit), F.col("seq")))),
+    )
+    states = carried_states(totals, RUN, full)
+    open_streak = F.col("_rows_before") - F.coalesce("_before__full", F.lit(0))
+    # The n-th leading page completes the streak; 0 and less cannot be, as earlier pages would have stopped.
+    nth = F.greatest(F.lit(empty_limit) - open_streak, F.lit(1)).cast("int")
+    empty = F.coalesce(F.get("_leading", nth - 1), F.col("_inner"))
+    found = states.groupBy(*RUN).agg(F.min(empty).alias("_empty"), F.min("_end").alias("_end"))
+    return found.select(
+        *RUN,
+        F.least("_empty", "_end").alias("stop_seq"),
+        F.when(F.col("_empty") <= F.coalesce("_end", "_empty"), "empty_pages")
+        .when(F.col("_end").isNotNull(), "end_of_data")
+        .alias("stop_reason"),
     )
 
 
 def empty_page_stop(headers: DataFrame, empty_limit: int = EMPTY_LIMIT) -> DataFrame:
     """Pages up to and including the one that completes the first long empty streak."""
-    numbered = number_pages(headers)
-    stops = numbered.groupBy(*RUN).agg(
+    pages = number_pages(headers)
+    stops = pages.groupBy(*RUN).agg(
         F.min(F.when(F.col("empty_streak") >= empty_limit, F.col("seq"))).alias("stop_seq")
     )
-    return keep_until(numbered, stops)
+    return keep_until(pages, stops)
 
 
 def terminal_cut(headers: DataFrame) -> DataFrame:
@@ -99,11 +119,11 @@ def checkpoint_points(headers: DataFrame, every: dict[str, int] | None = None) -
     """
     every = every or CHECKPOINT_EVERY
     step = F.when(F.col("source") == "feed", every["feed"]).otherwise(every["events"])
-    numbered = running(headers, RUN, "seq", {"page_no": Running("sum", F.lit(1).cast("bigint"))})
+    pages = numbered(headers, RUN, "seq").withColumnRenamed("row_no", "page_no")
     resume = F.when(F.col("source") == "feed", F.col("next_cursor")).otherwise(
         F.col("request_cursor")
     )
-    return numbered.where(F.pmod("page_no", step) == 0).select(
+    return pages.where(F.pmod("page_no", step) == 0).select(
         *RUN, "seq", "page_no", resume.alias("resume_cursor")
     )
 
@@ -145,17 +165,13 @@ def target_cut(
         page_counts, RUN, "seq", {"_within": Running("sum", F.col("new_rows").cast("bigint"))}
     )
     fallback = F.when(F.col("source") == "feed", 0).otherwise(1)
-    earlier = W.orderBy("_order", "run_id", fallback).rowsBetween(W.unboundedPreceding, -1)
-    starts = (
-        page_counts.groupBy(*RUN)
-        .agg(F.sum("new_rows").cast("bigint").alias("_rows"), F.min(order).alias("_order"))
-        .select(*[F.col(c).alias(f"_{c}") for c in RUN], "_rows", "_order", "run_id", "source")
-        .withColumn("_start", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) + F.lit(saved))
-        .drop("run_id", "source")
+    runs = page_counts.groupBy(*RUN).agg(
+        F.sum("new_rows").cast("bigint").alias("_rows"), F.struct(F.min(order), "run_id", fallback).alias("_order")
     )
-    same = F.lit(True)
-    for c in RUN:
-        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    # Runs are added up in chunks too, so no task sees them all.
+    before = running(runs, [], "_order", {"_start": Running("sum", F.col("_rows"), before=True)})
+    starts = before.select(*[F.col(c).alias(f"_{c}") for c in RUN], (F.col("_start") + F.lit(saved)).alias("_start"))
+    same = same_keys(RUN, [f"_{c}" for c in RUN])
     totals = within.join(starts, same).select(
         *page_counts.columns, (F.col("_start") + F.col("_within")).alias("total")
     )
@@ -201,11 +217,6 @@ def attempts(requests: DataFrame) -> DataFrame:
     A row of failures is within a run and source, in ``seq`` order; anything else ends it.
     """
     failed = F.col("outcome") == "retryable"
-    counted = running(
-        requests, ["run_id", "source"], "seq", {"_failures": Running("sum", failed.cast("bigint"))}
-    )
-    # At a request that did not fail, the failures so far are those of earlier rows.
-    earlier = {"_earlier": Running("max", F.when(~failed, F.col("_failures")))}
-    marked = running(counted, ["run_id", "source"], "seq", earlier)
-    attempt = F.when(failed, F.col("_failures") - F.coalesce("_earlier", F.lit(0))).otherwise(0)
-    return marked.withColumn("attempt", attempt).drop("_failures", "_earlier")
+    marked = numbered(requests, RUN, "seq", {"_other": ~failed})
+    attempt = F.when(failed, F.col("row_no") - F.coalesce("_other", F.lit(0))).otherwise(0)
+    return marked.withColumn("attempt", attempt).drop("row_no", "_other")

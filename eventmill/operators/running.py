@@ -1,10 +1,10 @@
 """Running aggregates over groups of any size.
 
 A window partitioned by run alone puts a whole run into one task, and one run may hold a third
-of the page log.  Here a group is cut into chunks of ``CHUNK`` consecutive order values.  Each
-chunk is one small window partition; what earlier chunks contribute comes from one summary row
-per chunk.  With 4,096 pages of 5,000 events, a summary row stands for 20 million events, so
-even the largest group has only thousands of them.
+of the page log.  Here rows are sorted across tasks and cut into chunks of ``CHUNK`` consecutive rows,
+whatever the gaps between their order values.  Each chunk is one small window partition; what earlier
+chunks contribute comes from one summary row per chunk.  With 4,096 pages of 5,000 events, a
+summary row stands for 20 million events, so even the largest group has only thousands of them.
 """
 
 from __future__ import annotations
@@ -43,6 +43,76 @@ def _combine(kind: str, carried: Column, local: Column) -> Column:
     return F.when(local.isNull() | later, F.coalesce(carried, local)).otherwise(local)
 
 
+def chunked(df: DataFrame, keys: list[str], order: str, chunk: int = CHUNK) -> DataFrame:
+    """Adds ``_chunk``: at most ``chunk`` rows that follow each other in (keys, order), numbered in that order.
+
+    The number of ranges is named, so that it stays the same wherever the plan uses the result.
+    """
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = df.repartitionByRange(ranges, *keys, order).sortWithinPartitions(*keys, order)
+    return ordered.withColumn("_chunk", F.floor(F.monotonically_increasing_id() / F.lit(chunk)))
+
+
+def same_keys(left: list[str], right: list[str]) -> Column:
+    on = F.lit(True)
+    for a, b in zip(left, right):
+        on = on & F.col(a).eqNullSafe(F.col(b))
+    return on
+
+
+def numbered(
+    df: DataFrame, keys: list[str], order: str, flags: dict[str, Column] | None = None, chunk: int = CHUNK
+) -> DataFrame:
+    """Adds ``row_no`` (from 1, by group) and for each flag the ``row_no`` of the last row so far that has it.
+
+    One scan with one composite state: the rows so far and the last row of each flag.  Inside a
+    chunk all of it comes from one window; a summary row is the state that a chunk adds.
+    """
+    flags = flags or {}
+    within, totals = chunk_states(df, keys, order, flags, chunk)
+    carried = carried_states(totals, keys, flags)
+    renamed = carried.select(
+        *[F.col(k).alias(f"_k_{k}") for k in [*keys, "_chunk"]], "_rows_before", *[f"_before_{f}" for f in flags]
+    )
+    joined = within.join(renamed, same_keys([*keys, "_chunk"], [f"_k_{k}" for k in [*keys, "_chunk"]]))
+    start = F.col("_rows_before")
+    return joined.select(
+        *df.columns,
+        (start + F.col("_n")).alias("row_no"),
+        *[F.coalesce(start + F.col(f"_last_{f}"), F.col(f"_before_{f}")).alias(f) for f in flags],
+    )
+
+
+def chunk_states(
+    df: DataFrame, keys: list[str], order: str, flags: dict[str, Column], chunk: int = CHUNK, **more: Column
+) -> tuple[DataFrame, DataFrame]:
+    """(rows, summaries): ``_n`` and ``_last_<flag>`` inside each chunk; ``_rows`` and ``_end_<flag>`` of each chunk.
+
+    ``more`` are further aggregates of a chunk, over these columns.  Both parts need the rows once by
+    chunk; the summaries need no exchange beyond that.
+    """
+    inside = W.partitionBy(*keys, "_chunk").orderBy(order)
+    placed = chunked(df, keys, order, chunk).withColumn("_n", F.row_number().over(inside).cast("bigint"))
+    within = placed.withColumns(
+        {f"_last_{f}": F.max(F.when(test, F.col("_n"))).over(inside) for f, test in flags.items()}
+    )
+    totals = within.groupBy(*keys, "_chunk").agg(
+        F.max("_n").alias("_rows"),
+        *[F.max(f"_last_{f}").alias(f"_end_{f}") for f in flags],
+        *[c.alias(name) for name, c in more.items()],
+    )
+    return within, totals
+
+
+def carried_states(totals: DataFrame, keys: list[str], flags: dict[str, Column]) -> DataFrame:
+    """The summaries with the state before each chunk: ``_rows_before``, ``_before_<flag>``."""
+    earlier = W.partitionBy(*keys).orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
+    placed = totals.withColumn("_rows_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
+    return placed.withColumns(
+        {f"_before_{f}": F.max(F.col("_rows_before") + F.col(f"_end_{f}")).over(earlier) for f in flags}
+    )
+
+
 def running(
     df: DataFrame, keys: list[str], order: str, spec: dict[str, Running], chunk: int = CHUNK
 ) -> DataFrame:
@@ -51,7 +121,7 @@ def running(
     NULLs in ``keys`` form a group of their own, as in a window.
     """
     values = {f"_v_{name}": r.value for name, r in spec.items()}
-    parts = df.withColumns({"_chunk": F.floor(F.col(order) / F.lit(chunk)), **values})
+    parts = chunked(df, keys, order, chunk).withColumns(values)
 
     local = W.partitionBy(*keys, "_chunk").orderBy(order)
     frames = {False: local.rowsBetween(W.unboundedPreceding, W.currentRow),
@@ -69,10 +139,7 @@ def running(
         F.col("_chunk").alias("_k__chunk"),
         *[_AGGREGATE[r.kind](f"_t_{n}").over(earlier).alias(f"_c_{n}") for n, r in spec.items()],
     )
-    on = F.lit(True)
-    for k in [*keys, "_chunk"]:
-        on = on & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    joined = within.join(carried, on, "left")
+    joined = within.join(carried, same_keys([*keys, "_chunk"], [f"_k_{k}" for k in [*keys, "_chunk"]]), "left")
     return joined.select(
         *[F.col(c) for c in df.columns if c not in spec],
         *[_combine(r.kind, F.col(f"_c_{n}"), F.col(f"_l_{n}")).alias(n) for n, r in spec.items()],

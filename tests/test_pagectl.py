@@ -1,13 +1,14 @@
 """Running aggregates and page control: WIN2-6, JOIN3, FLT3-5, AGG4."""
 
 import random
+import re
 from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
 
-from eventmill.operators import pagectl, reports
-from eventmill.operators.running import Running, running
+from eventmill.operators import chains, pagectl, reports
+from eventmill.operators.running import Running, chunked, running
 from eventmill.sources import envelope
 from tests.conftest import body, event, page
 from tests.conftest import page_log as log
@@ -187,3 +188,87 @@ def test_attempts_count_failures_in_a_row(spark):
     got = {(r["source"], r["seq"]): r["attempt"] for r in out.collect()}
     assert [got["feed", s] for s in (1, 5, 9, 9000)] == [1, 2, 0, 1]
     assert [got["events", s] for s in (0, 4096, 8192)] == [1, 2, 3]
+
+
+def headers_of(spark, rows):
+    """Rows of (run, source, seq, n_events, has_more, next_cursor, request_cursor)."""
+    schema = "run_id string, source string, seq long, n_events long, has_more boolean, next_cursor string, request_cursor string"
+    return spark.createDataFrame(rows, schema)
+
+
+@pytest.mark.parametrize("chunk", [1, 3, 1000])
+def test_stops_of_sparse_runs_against_brute_force(spark, chunk):
+    rng = random.Random(chunk)
+    rows, want = [], {}
+    for r in range(12):
+        seqs = sorted(rng.sample(range(10**12), 60))  # numbers far apart
+        empty_from = rng.randint(0, 70)
+        streak = stop = reason = None
+        streak = 0
+        for i, seq in enumerate(seqs):
+            n = 0 if i >= empty_from or rng.random() < 0.6 else 5
+            more = rng.random() > 0.01
+            rows.append((f"r{r}", "feed", seq, n, more, "c", None))
+            streak = streak + 1 if n == 0 else 0
+            if stop is None and streak >= 10:
+                stop, reason = seq, "empty_pages"
+            elif stop is None and not more:
+                stop, reason = seq, "end_of_data"
+        want[f"r{r}"] = (stop, reason)
+    found = pagectl.stop_points(headers_of(spark, rows).repartition(5), chunk=chunk).collect()
+    assert {r["run_id"]: (r["stop_seq"], r["stop_reason"]) for r in found} == want
+
+
+def exchanges(df):
+    """Shuffles that were run: one that is used twice is run once."""
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return len(re.findall(r"(?<!Reused)(?<!Broadcast)Exchange ", final))
+
+
+def test_page_control_moves_pages_twice(spark):
+    pages = headers_of(spark, [("r", "feed", i, 1, True, "c", None) for i in range(5)])
+    assert exchanges(pagectl.stop_points(pages)) == 3  # sorted, by chunk; then summaries by run
+    assert exchanges(pagectl.number_pages(pages)) <= 5  # and the summaries join their chunks
+
+
+def test_chunks_hold_rows_not_ranges_of_numbers(spark):
+    rows = [("r", "feed", i * 10**9, 1, True, "c", None) for i in range(4000)]
+    cut = chunked(headers_of(spark, rows), ["run_id", "source"], "seq", 100)
+    sizes = [r["count"] for r in cut.groupBy("_chunk").count().collect()]
+    assert max(sizes) <= 100 and len(sizes) <= 4000 / 100 + 4
+
+
+def test_cursor_chains(spark):
+    def row(seq, asked, handed, run="r"):
+        return (run, "feed", seq, 1, True, handed, asked)
+
+    rows = [
+        row(9, None, "a"), row(3, "a", "b"), row(7, "b", "c"), row(1, "c", None),  # a chain out of order
+        row(8, "b", "c2"), row(2, "zzz", "d"), row(4, "d", ""),                   # a fork; an orphan
+        row(20, "g", "e"), row(21, "e", "f"), row(22, "f", "g"), row(23, "g", None),  # a loop, and a way off it
+        row(30, "s", "s"), row(40, "a", "x", run="q"),                            # a page after itself; another run
+    ]
+    found = {
+        (r["run_id"], r["seq"]): (r["parent_seq"], r["head_seq"], r["step"], r["siblings"], r["link"])
+        for r in chains.cursor_chains(headers_of(spark, rows).repartition(3)).collect()
+    }
+    assert found == {
+        ("r", 9): (None, 9, 0, None, "start"), ("r", 3): (9, 9, 1, 1, "linked"), ("r", 7): (3, 9, 2, 2, "linked"),
+        ("r", 8): (3, 9, 2, 2, "linked"), ("r", 1): (7, 9, 3, 1, "linked"), ("r", 2): (None, 2, 0, 1, "orphan"),
+        ("r", 4): (2, 2, 1, 1, "linked"), ("r", 20): (22, None, None, 2, "loop"), ("r", 21): (20, None, None, 1, "loop"),
+        ("r", 22): (21, None, None, 1, "loop"), ("r", 23): (22, None, None, 2, "loop"),
+        ("r", 30): (30, None, None, 1, "loop"), ("q", 40): (None, 40, 0, 1, "orphan"),
+    }
+
+
+def test_a_long_chain_takes_few_rounds(spark, monkeypatch):
+    rng, n = random.Random(2), 700
+    seqs = rng.sample(range(10**6), n)
+    rows = [("r", "feed", s, 1, True, f"c{i}", f"c{i - 1}" if i else None) for i, s in enumerate(seqs)]
+    rounds = []
+    written = chains._written
+    monkeypatch.setattr(chains, "_written", lambda df, name: rounds.append(name) or written(df, name))
+    found = chains.cursor_chains(headers_of(spark, rows)).collect()
+    assert {r["seq"]: r["step"] for r in found} == {s: i for i, s in enumerate(seqs)}
+    assert rounds.count("chain-state") <= 11

@@ -1,7 +1,7 @@
 """Page logs derived from the given ``events`` table, landed as JSON lines.
 
 Every event becomes raw JSON with a timestamp in one of six forms, is packed into pages of 100,
-and the pages are written as the fetching job would land them.  Four logs:
+and the pages are written as the fetching job would land them.  The logs:
 
 ``arrivals``  three attempts, one after the other: early copies of the ``view`` events (type
               ``early``), all events, late copies of the ``click`` events (type ``late``).
@@ -10,6 +10,7 @@ and the pages are written as the fetching job would land them.  Four logs:
 ``timeless``  the same, with a third of the events without a time.
 ``clashing``  ``run-10`` started a year after ``run-2``; the fallback's pages come first by number.
 ``dirty``     events and pages that cannot be loaded among those that can.
+``shuffled``  pages out of order, with forks, loops, orphans and restarts among their cursors.
 ``requests``  one request per event, with every kind of response.
 ``sessions``  pages of session records.
 ``odd_sessions``  session pages with torn bodies and records that are no sessions.
@@ -241,6 +242,42 @@ def _dirty(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     return [_log(pages, run_id=F.lit("run-1"), source=F.lit("feed"), seq=p, body=body)]
 
 
+def _shuffled(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Pages numbered out of order; only cursors tell which follows which.
+
+    A run's pages come in chains of eight.  Some chains begin with the cursor that they end with, some
+    ask with a cursor that nobody handed out, some begin anew in the middle, and some requests are
+    made twice.
+    """
+    pages = _pages(events(spark, sf_dir).withColumn("json", raw_json(F.col("event_type"))))
+    p, copy = F.col("p"), F.col("copy")
+    j = F.floor(p / 3)
+    block, k = F.floor(j / 8), j % 8
+    slots = pages.withColumn("copy", F.explode(F.sequence(F.lit(0), F.when(j % 6 == 2, 1).otherwise(0))))
+
+    def name(mark: str, number: Column) -> Column:
+        return F.concat(F.lit(f"{mark}-"), number.cast("string"))
+
+    asked = (
+        F.when((k == 0) & (block % 5 == 3), name("c", j + 7))
+        .when(k == 0, None)
+        .when((k == 5) & (block % 5 == 1), name("x", j))
+        .when((k == 6) & (block % 5 == 2), None)
+        .otherwise(name("c", j - 1))
+    )
+    handed = F.when(copy == 0, name("c", j)).otherwise(name("r", j))
+    return [
+        _log(
+            slots,
+            run_id=F.concat(F.lit("run-"), (p % 3).cast("string")),
+            source=F.lit("feed"),
+            seq=(p * 7919) % 1_000_003 * 2 + copy,
+            request_cursor=asked,
+            body=_nested(F.col("data"), F.col("n"), F.lit(True), handed),
+        )
+    ]
+
+
 def _requests(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     ev = events(spark, sf_dir).withColumnRenamed("at", "requested_at")
     n = F.col("event_id")
@@ -327,6 +364,7 @@ _LOGS = {
     "timeless": _timeless,
     "clashing": _clashing,
     "dirty": _dirty,
+    "shuffled": _shuffled,
     "requests": _requests,
     "sessions": _sessions,
     "odd_sessions": _odd_sessions,

@@ -249,6 +249,28 @@ SELECT run_id, source, seq, request_cursor, prev_seq, prev_cursor AS expected_cu
        CASE WHEN prev_seq IS NULL THEN 'start' WHEN p % 10 = 7 THEN 'reset' WHEN p % 10 = 4 THEN 'broken'
             ELSE 'linked' END AS link
 FROM req"""),
+    "cursor_chain": """
+WITH RECURSIVE pg AS (SELECT event_id // 100 AS p, event_id // 300 AS j, event_id // 300 // 8 AS block,
+    event_id // 300 % 8 AS k FROM events GROUP BY ALL),
+log AS (
+  SELECT 'run-' || (p % 3) AS run_id, 'feed' AS source, (p * 7919) % 1000003 * 2 + copy AS seq,
+         CASE WHEN k = 0 AND block % 5 = 3 THEN 'c-' || (j + 7) WHEN k = 0 THEN NULL
+              WHEN k = 5 AND block % 5 = 1 THEN 'x-' || j WHEN k = 6 AND block % 5 = 2 THEN NULL
+              ELSE 'c-' || (j - 1) END AS asked,
+         CASE WHEN copy = 0 THEN 'c-' ELSE 'r-' END || j AS handed
+  FROM pg, range(2) AS r(copy) WHERE copy = 0 OR j % 6 = 2),
+up AS (
+  SELECT l.*, (SELECT min(h.seq) FROM log h WHERE h.run_id = l.run_id AND h.handed = l.asked) AS parent_seq,
+         CASE WHEN asked IS NOT NULL THEN count(*) OVER (PARTITION BY run_id, asked) END AS siblings
+  FROM log l),
+chain(run_id, seq, head_seq, step) AS (
+  SELECT run_id, seq, seq, 0::BIGINT FROM up WHERE parent_seq IS NULL
+  UNION ALL
+  SELECT u.run_id, u.seq, c.head_seq, c.step + 1 FROM chain c JOIN up u ON u.run_id = c.run_id AND u.parent_seq = c.seq)
+SELECT u.run_id, u.source, u.seq, u.parent_seq, c.head_seq, c.step, u.siblings,
+       CASE WHEN asked IS NULL THEN 'start' WHEN parent_seq IS NULL THEN 'orphan' WHEN c.seq IS NULL THEN 'loop'
+            ELSE 'linked' END AS link
+FROM up u LEFT JOIN chain c ON u.run_id = c.run_id AND u.seq = c.seq""",
     "backfill_union": _with(_SRC, """
 SELECT id, type, true_ms AS ms, 'run-1' AS run_id, seq, CAST(pos AS INT) AS pos
 FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY rnk, seq, pos) AS rn FROM src) WHERE rn = 1"""),

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from eventmill import schemas
 from eventmill.functions import cursors, text, timestamps, variants
-from eventmill.operators import dedup, normalize, pagectl, reports
+from eventmill.operators import chains, dedup, normalize, pagectl, reports
 from eventmill.plans import load
 from eventmill.session import configure, scratch_dir
 from eventmill.sinks import export, layout, tables as sinks
@@ -327,6 +327,11 @@ def page_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pagectl.page_chain(control(spark, sf_dir))
 
 
+def cursor_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order of a log whose page numbers say nothing."""
+    return chains.cursor_chains(envelope.headers(envelope.decode(landed(spark, sf_dir, "shuffled"))))
+
+
 def backfill_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sinks.overwrite_stage(typed(spark, sf_dir, "sources"), scratch_dir(spark, "sources"))
     feed = dedup.first_wins(rows.where(F.col("source") == "feed"))
@@ -612,6 +617,7 @@ QUERIES: dict[str, Query] = {
     "rejects": rejects,
     "load_dirty": load_dirty,
     "page_chain": page_chain,
+    "cursor_chain": cursor_chain,
     "backfill_union": backfill_union,
     "backfill_missing_times": backfill_missing_times,
     "load_clashing": load_clashing,
