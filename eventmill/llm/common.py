@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +40,46 @@ def stage(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of 64 bits, at most, in the table that is broadcast to leave most rows unmoved.
+MAP_ROWS = 1 << 18
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """(row_key, row): each row as a struct, with a name of 16 bytes that is the same at every reading.
+
+    Rows that are read from files are named by file and place there; nothing is written.  Others are
+    written once, as a plan with a shuffle may give its rows in another order each time.
+    """
+
+    def named(df: DataFrame, row) -> DataFrame:
+        place = [F.xxhash64("_metadata.file_path"), F.col("_metadata.row_index")]
+        key = F.unhex(F.concat(*[F.lpad(F.hex(x), 16, "0") for x in place]))
+        return df.select(key.alias("row_key"), row.alias("row"))
+
+    if "_metadata" not in docs.columns:
+        try:
+            return named(docs, F.struct("*"))
+        except AnalysisException:  # not read from files, or from several sources
+            pass
+    return named(stage(docs.select(F.struct("*").alias("row")), "rows"), F.col("row"))
+
+
+def without(rows: DataFrame, dropped: DataFrame, key: str) -> DataFrame:
+    """The rows whose ``key`` is not among the ``dropped`` ones; only few others are shuffled.
+
+    Dropped keys are marked in a bit map of bounded size.  A fuller map sends more rows through the
+    join behind it, and changes nothing else.  ``rows`` is read twice.
+    """
+    place = F.pmod(F.xxhash64(key), F.lit(MAP_ROWS))
+    bit = F.pmod(F.xxhash64(F.lit(1), key), F.lit(64)).cast("int")
+    one = F.call_function("shiftleft", F.lit(1).cast("bigint"), bit)
+    bits = F.broadcast(dropped.groupBy(place.alias("map_row")).agg(F.bit_or(one).alias("bits")))
+    marked = rows.withColumn("map_row", place).join(bits, "map_row", "left")
+    maybe = F.coalesce(F.getbit("bits", bit) == 1, F.lit(False))
+    rest = marked.filter(maybe).select(*rows.columns).join(dropped.select(key), key, "left_anti")
+    return marked.filter(~maybe).select(*rows.columns).unionByName(rest)
+
+
 def join_split(rows: DataFrame, values: DataFrame, keys: list[str], total: int, *, how: str = "inner") -> DataFrame:
     """``rows`` with the columns of ``values``, whose ``n`` counts the rows of each of its keys.
 

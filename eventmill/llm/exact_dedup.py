@@ -12,28 +12,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventmill.llm.common import stage
+from eventmill.llm.common import keyed, stage, without
 
 
 def mark(
-    docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", carry: bool = False, support: float = 0.001
+    docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", row_key: str | None = None, support: float = 0.001
 ) -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256.
 
     Equal texts form a group; a null text counts as empty.  The row with the largest id stays, a
     null id being the smallest; of repeated rows with that id exactly one stays.  An empty table
-    gives no rows.  Other columns are left out, whatever their names, unless ``carry`` asks for
-    them as the struct ``row``.
+    gives no rows.  Other columns are left out, whatever their names, but for a ``row_key`` that tells
+    rows apart.
     """
     digest = F.sha2(F.coalesce(F.col(text), F.lit("")), 256)
-    row = [F.struct("*").alias("row")] if carry else []
+    key = F.col(row_key) if row_key else F.monotonically_increasing_id()
     staged = stage(
         docs.select(
             F.col(doc_id).alias("doc_id"),
             F.unhex(digest).alias("digest"),
             F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint").alias("key"),
-            F.monotonically_increasing_id().alias("rid"),
-            *row,
+            key.alias("rid"),
         ),
         "digests",
     )
@@ -64,11 +63,14 @@ def mark(
             "group_size",
             (F.col("rid") == F.col("best.rid")).alias("kept"),
             F.lower(F.hex("digest")).alias("text_sha256"),
-            *(["row"] if carry else []),
+            *([F.col("rid").alias(row_key)] if row_key else []),
         )
     )
 
 
-def keep(docs: DataFrame, **names) -> DataFrame:
-    """The rows that stay, with the columns of the input."""
-    return mark(docs, carry=True, **names).filter("kept").select("row.*")
+def keep(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", **names) -> DataFrame:
+    """The rows that stay, with the columns of the input.  Texts stay where they are; ids and digests move."""
+    rows = keyed(docs)
+    flat = rows.select("row_key", F.col(f"row.`{text}`").alias("text"), F.col(f"row.`{doc_id}`").alias("doc_id"))
+    marked = mark(flat, row_key="row_key", **names)
+    return without(rows, stage(marked.filter("NOT kept").select("row_key"), "copies"), "row_key").select("row.*")

@@ -111,17 +111,16 @@ def mix(
     reruns agree.  An empty table gives no rows.
     """
     row = [F.struct("*").alias("row")] if carry else []
-    sized = stage(
-        docs.select(
-            F.col(doc_id).cast("bigint").alias("doc_id"),
-            F.col(source).alias("source"),
-            size(F.col(text)).alias("size"),
-            order(seed, F.col(doc_id)).alias("place"),
-            F.monotonically_increasing_id().alias("row_no"),
-            *row,
-        ),
-        "sized",
+    plain = docs.select(
+        F.col(doc_id).cast("bigint").alias("doc_id"),
+        F.col(source).alias("source"),
+        size(F.col(text)).alias("size"),
+        order(seed, F.col(doc_id)).alias("place"),
+        F.monotonically_increasing_id().alias("row_no"),
+        *row,
     )
+    # Texts are not written here: what is drawn is read from the input again.
+    sized = stage(plain.drop("row") if carry else plain, "sized")
     spark = docs.sparkSession
     # One row a source: the user names a weight for each, so they are few.
     found = sized.groupBy("source").agg(F.sum("size").alias("words")).collect()
@@ -139,12 +138,16 @@ def mix(
         ],
         "source string, source_no int, source_size long, target double, quota long, n_blocks long",
     )
-    placed = (
-        sized.alias("d")
-        .join(F.broadcast(sources).alias("s"), F.expr("d.source <=> s.source"))
-        .drop(F.col("s.source"))
-        .withColumn("block", F.pmod("place", "n_blocks"))
-    )
+
+    def place(rows: DataFrame) -> DataFrame:
+        return (
+            rows.alias("d")
+            .join(F.broadcast(sources).alias("s"), F.expr("d.source <=> s.source"))
+            .drop(F.col("s.source"))
+            .withColumn("block", F.pmod("place", "n_blocks"))
+        )
+
+    placed = place(sized)
     rounds = max([1, *(int(-(-t // s)) for t, s in zip(targets, sizes) if s)])
     repeated = F.explode(F.sequence(F.lit(0), F.lit(rounds - 1))).alias("repetition")
     shape = ("source_no", "source_size", "quota")
@@ -182,7 +185,8 @@ def mix(
         "dealt-blocks",
     )
     carried = ["row"] if carry else []
-    taken = placed.filter("size > 0").join(F.broadcast(dealt), ["source_no", "block"])
+    drawn_from = place(plain) if carry else placed
+    taken = drawn_from.filter("size > 0").join(F.broadcast(dealt), ["source_no", "block"])
     whole = taken.filter("left >= words").withColumn("taken", F.col("size"))
     inside = Window.partitionBy("source_no", "block", "repetition").orderBy("place", "doc_id", "size", "row_no")
     part = (

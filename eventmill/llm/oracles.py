@@ -31,7 +31,7 @@ lines AS (SELECT source, t, unnest(list_filter(
               lower(trim(regexp_replace(x, '[\x20\x09-\x0D]+', ' ', 'g')))), lambda x: x <> '')) AS line FROM texts),
 hosts AS (SELECT source, count(DISTINCT t) AS n FROM lines GROUP BY source),
 freq AS (SELECT l.source, line, min(md5(t)) AS keeper FROM lines l JOIN hosts h ON l.source IS NOT DISTINCT FROM h.source
-         GROUP BY l.source, line, h.n HAVING count(DISTINCT t) >= 20 AND count(DISTINCT t) > 0.25 * h.n),
+         GROUP BY l.source, line, h.n HAVING count(DISTINCT t) >= 20 AND count(DISTINCT t) > least(0.25 * h.n, 30)),
 lost AS (SELECT l.source, l.t, sum(len(string_split(l.line, ' '))) AS n
          FROM lines l JOIN freq f ON l.source IS NOT DISTINCT FROM f.source AND l.line = f.line AND md5(l.t) <> f.keeper
          GROUP BY l.source, l.t),
