@@ -281,6 +281,42 @@ def test_near_duplicates_against_brute_force(spark):
     assert jaccard_join.keep_one(docs(spark, rows)).count() == len(sizes)
 
 
+def test_link_counts_against_brute_force(spark):
+    rng = random.Random(11)
+    rows = []
+    for g in range(14):
+        base = prose(g, 200).split()
+        for k in range(rng.randint(2, 9)):
+            copy = list(base)
+            for _ in range(rng.randint(1, 6)):
+                copy[rng.randrange(200)] = f"n{g}x{k}"
+            rows.append((len(rows), " ".join(copy)))
+    alike = prose(50, 300).split()
+    for k in range(30):
+        rows.append((len(rows), " ".join([*alike[:k], f"own{k}", *alike[k + 1 :]])))
+    rows.append((len(rows), rows[-1][1]))  # a copy is a link of its own
+    hashes = jaccard_join.WordHash()
+    sets = [jaccard_join.shingles(t, hashes) for _, t in rows]
+
+    def linked(x, y):
+        both = len(np.intersect1d(x, y, assume_unique=True))
+        return both >= 0.8 * (len(x) + len(y) - both) - 1e-9
+
+    want = [sum(linked(x, y) for y in sets) - 1 for x in sets]
+    got = {r["doc_id"]: r["n_links"] for r in jaccard_join.classes(docs(spark, rows)).collect()}
+    assert [got[i] for i in range(len(rows))] == want and want[-2] == 30
+
+
+def test_pairs_in_a_large_group_with_a_shared_passage(spark):
+    passage, rows = prose(60, 190), []
+    for k in range(600):
+        common = prose(1000 + k, 16)
+        rows += [(2 * k + i, f"{passage} {common} {prose(9000 + 2 * k + i, 20)}") for i in range(2)]
+    got = {r["doc_id"]: r["class_id"] for r in jaccard_join.classes(docs(spark, rows)).collect()}
+    assert sum(got[2 * k] == got[2 * k + 1] == 2 * k for k in range(600)) >= 594
+    assert all(c in (i, i - i % 2) for i, c in got.items())
+
+
 def test_packing_holds_every_token_once(spark):
     rng = random.Random(2)
     rows = [(i, prose(i, rng.randint(0, 900)) + " It's 12% <|endoftext|>, naïve x") for i in range(60)]
