@@ -2,8 +2,9 @@
 
 DataFrame functions only.  A block is a line, or the whole text with its line breaks as spaces, cut
 into overlapping windows where it is long; so a notice wrapped over lines stands in one block.  It
-meets a template when it holds at least ``threshold`` of the template's distinct words.  Words are
-ordered by their frequency in the corpus, rarest first, so that:
+meets a template when it holds at least ``threshold`` of the template's distinct words, all of them if
+the template has ``SHORT`` or fewer; among them all that tell licenses apart, and none of those that
+name another license of the family.  Words are ordered by their frequency in the corpus, rarest first, so that:
 
 * prefix filter: a block that shares ``need`` words with a template of ``size`` words has one of
   the template's ``size - need + 1`` rarest words, at a place that leaves room in the block;
@@ -43,10 +44,17 @@ TEMPLATES = (
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided "
             "that the following conditions are met"),
     ("cc-by", "licensed under a creative commons attribution 4 0 international license"),
+    ("cc-by", "licensed under cc by 4 0"),
     ("cc-by-nc", "licensed under cc by nc 4 0"),
     ("cc-by-sa", "licensed under a creative commons attribution sharealike 4 0 international license"),
 )
 
+#: Words of a template that a block must hold, and those that it may hold only if the template does (fixed values).
+TELLING = ("mit", "apache", "gnu", "mozilla", "cc", "attribution", "version", "v", "2", "3")
+FAMILY = ("lesser", "affero", "sharealike", "noncommercial", "noderivatives", "nc", "nd", "sa")
+#: Templates of so many different words are met by all of them only.
+SHORT = 8
+
 MAX_TEMPLATE_WORDS = 10_000
 WINDOW = 64
 
@@ -109,6 +117,15 @@ def windows(line: Column) -> Column:
     )
 
 
+def needed(size: int, threshold: float) -> int:
+    return size if size <= SHORT else -int(-threshold * size // 1)
+
+
+def markers(words: list[str]) -> tuple[list[str], list[str]]:
+    """Words that a block must hold to meet the template of these words, and those that it must not."""
+    return [w for w in words if w in TELLING + FAMILY], [w for w in FAMILY if w not in words]
+
+
 def contained(
     texts: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, threshold: float = 0.8
 ) -> DataFrame:
@@ -122,7 +139,7 @@ def contained(
     if any(len(ws) > WINDOW // 2 for _, _, ws in sets):
         raise ValueError(f"a template may have {WINDOW // 2} different words, half a window")
     spark = texts.sparkSession
-    vocabulary = sorted({w for _, _, ws in sets for w in ws})
+    vocabulary = sorted({w for _, _, ws in sets for w in ws} | set(FAMILY))
     known = F.array(*[F.lit(w) for w in vocabulary])
     seen = (
         texts.select(F.explode(F.array_intersect(F.split(F.col("lines"), "[\\x20\\n]+"), known)).alias("word"))
@@ -135,13 +152,17 @@ def contained(
 
     prefixes = []
     for i, label, ws in sets:
-        need = -int(-threshold * len(ws) // 1)
+        need = needed(len(ws), threshold)
         ranks = sorted(rank[w] for w in ws)
+        must, never = ([rank[w] for w in words] for words in markers(ws))
         prefixes += [
-            (i, label, r, at, len(ws), need, ranks) for at, r in enumerate(ranks[: len(ws) - need + 1])
+            (i, label, r, at, len(ws), need, ranks, must, never)
+            for at, r in enumerate(ranks[: len(ws) - need + 1])
         ]
     index = spark.createDataFrame(
-        prefixes, "template int, label string, word int, at int, size int, need int, ranks array<int>"
+        prefixes,
+        "template int, label string, word int, at int, size int, need int, ranks array<int>, "
+        "must array<int>, never array<int>",
     )
     least = min(p[5] for p in prefixes)
     rare = sorted({order[p[2]] for p in prefixes})
@@ -170,6 +191,7 @@ def contained(
     shared = F.size(F.array_intersect("block", "ranks"))
     return (
         candidates.filter(shared >= F.col("need"))
+        .filter((F.size(F.array_intersect("block", "must")) == F.size("must")) & ~F.arrays_overlap("block", "never"))
         .groupBy("digest", "label")
         .agg(F.max(shared / F.col("size")).alias("score"))
     )

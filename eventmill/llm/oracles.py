@@ -124,25 +124,35 @@ def _licenses() -> str:
         test = " AND ".join(f"ws[i + {k}] = '{w}'" for k, w in enumerate(ws))
         parts.append(f"list_transform(list_filter(range(1, len(ws) + 1), lambda i: {test}), lambda i: {{'i': i - 1, 'l': '{label}'}})")
     places = " || ".join(parts)
-    rows = ", ".join(f"({i}, '{label}', string_split('{text}', ' '))" for i, (label, text) in enumerate(licenses.TEMPLATES))
+    def listed(words: list[str]) -> str:
+        return "[" + ", ".join(f"'{w}'" for w in words) + "]::VARCHAR[]"
+
+    rows = ", ".join(
+        f"({i}, '{label}', string_split('{text}', ' '), {listed(must)}, {listed(never)})"
+        for i, (label, text) in enumerate(licenses.TEMPLATES)
+        for must, never in [licenses.markers(sorted(set(text.split())))]
+    )
     split = r"list_filter(regexp_split_to_array({}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
     low = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     half, window = licenses.WINDOW // 2, licenses.WINDOW
     return f"""
-WITH templates(id, label, raw) AS (VALUES {rows}),
-t AS (SELECT label, list_distinct(raw) AS ws FROM templates),
+WITH templates(id, label, raw, must, never) AS (VALUES {rows}),
+t AS (SELECT label, list_distinct(raw) AS ws, must, never FROM templates),
 d AS (SELECT doc_id, {low} AS t FROM documents),
 w AS (SELECT doc_id, t, {split.format("t")} AS ws FROM d),
 p AS (SELECT *, {places} AS places FROM w),
-lines AS (SELECT DISTINCT line FROM (SELECT unnest(string_split(t, chr(10))) AS line FROM d)
-          WHERE regexp_matches(line, 'licen|permission|redistribut')),
+dl AS (SELECT DISTINCT doc_id, line FROM (
+         SELECT doc_id, unnest(list_append(string_split(t, chr(10)), replace(t, chr(10), ' '))) AS line FROM d)
+       WHERE regexp_matches(line, 'licen|permission|redistribut')),
+lines AS (SELECT DISTINCT line FROM dl),
 lw AS (SELECT line, {split.format("line")} AS lws FROM lines),
 blocks AS (SELECT line, list_distinct(lws[i * {half} + 1 : i * {half} + {window}]) AS b
            FROM (SELECT line, lws, unnest(range(0, greatest(ceil(len(lws) / {half})::BIGINT - 1, 1))) AS i FROM lw)),
 hits AS (SELECT line, label, max(len(list_intersect(b, t.ws)) / len(t.ws)) AS score FROM blocks, t
-         WHERE len(list_intersect(b, t.ws)) >= ceil(0.8 * len(t.ws)) GROUP BY line, label),
+         WHERE len(list_intersect(b, t.ws)) >= CASE WHEN len(t.ws) <= {licenses.SHORT} THEN len(t.ws) ELSE ceil(0.8 * len(t.ws)) END
+           AND list_has_all(b, must) AND NOT list_has_any(b, never) GROUP BY line, label),
 doc_hits AS (SELECT doc_id, list(DISTINCT label) AS more, max(score) AS best
-             FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d) x JOIN hits USING (line) GROUP BY doc_id)
+             FROM dl JOIN hits USING (line) GROUP BY doc_id)
 SELECT p.doc_id, len(ws)::BIGINT AS n_words, len(places)::BIGINT AS n_base,
        list_min(list_transform(places, lambda x: x.i))::BIGINT AS first_word,
        list_max(list_transform(places, lambda x: x.i))::BIGINT AS last_word,

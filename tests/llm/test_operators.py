@@ -281,6 +281,25 @@ def test_near_duplicates_against_brute_force(spark):
     assert jaccard_join.keep_one(docs(spark, rows)).count() == len(sizes)
 
 
+def test_licenses_that_share_most_words_keep_their_own_labels(spark):
+    gpl = ("you can redistribute it and/or modify it under the terms of the GNU {}General Public License as\n"
+           "published by the Free Software Foundation, either version 3 of the License")
+    cases = {
+        "Released under the Apache License": "",
+        "Copyright released under the BSD license": "",
+        "the new film was released under the old title, and its license ran out": "",
+        "Released under the MIT license": "mit",
+        "Licensed under CC BY 4.0": "cc-by",
+        "Licensed under CC BY-NC 4.0": "cc-by-nc",
+        gpl.format(""): "gpl-3",
+        gpl.format("Lesser "): "lgpl",
+        "Licensed under a Creative Commons Attribution 4.0 International License": "cc-by",
+        "Licensed under a Creative Commons Attribution-ShareAlike 4.0 International License": "cc-by-sa",
+    }
+    got = {r["doc_id"]: r["labels"] for r in licenses.scan(docs(spark, list(enumerate(cases)))).collect()}
+    assert [got[i] for i in range(len(cases))] == list(cases.values())
+
+
 def test_link_counts_against_brute_force(spark):
     rng = random.Random(11)
     rows = []
