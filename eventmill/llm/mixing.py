@@ -206,9 +206,19 @@ def mix(
 
 
 def taken_by_document(rows: DataFrame, draws: DataFrame) -> DataFrame:
-    """The documents with ``taken``, the words that the mix takes of each, repeats counted."""
-    sums = draws.groupBy("row_no").agg(F.sum("taken").alias("taken"))
-    return rows.join(sums, "row_no", "left").withColumn("taken", F.coalesce("taken", F.lit(0)).cast("bigint"))
+    """The documents with ``taken``, the words that the mix takes of each, repeats counted, and ``shards``.
+
+    ``shards`` names the output shard of each draw and its words, ``shard:words`` by repetition, of which
+    there are as many as the target needs; it is empty for a document that is never drawn.
+    """
+    each = F.transform(
+        F.array_sort(F.collect_list(F.struct("repetition", "shard", "taken"))),
+        lambda d: F.concat_ws(":", d["shard"], d["taken"]),
+    )
+    sums = draws.groupBy("row_no").agg(F.sum("taken").alias("taken"), F.array_join(each, ",").alias("shards"))
+    return rows.join(sums, "row_no", "left").withColumns(
+        {"taken": F.coalesce("taken", F.lit(0)).cast("bigint"), "shards": F.coalesce("shards", F.lit(""))}
+    )
 
 
 def materialise(draws: DataFrame, *, text: str = "text", n_chars: str = "n_chars", seed: int = 7) -> DataFrame:

@@ -73,7 +73,9 @@ def op6_maxent_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_splitting_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, draws = mixing.mix(documents(spark, sf_dir))
-    return mixing.taken_by_document(rows, draws).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.taken_by_document(rows, draws).select(
+        "doc_id", "size", "source_size", "target", "taken", "shards"
+    )
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

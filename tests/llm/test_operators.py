@@ -231,12 +231,33 @@ def test_mix_meets_targets_and_materialises_what_it_takes(spark):
     for source in {r["source"] for r in got}:
         of = [r for r in got if r["source"] == source]
         assert abs(sum(r["taken"] for r in of) - of[0]["target"]) <= 0.5
+    drawn = [[int(x) for x in part.split(":")] for r in got if r["shards"] for part in r["shards"].split(",")]
+    assert sum(n for _, n in drawn) == sum(r["taken"] for r in got)
+    loads = Counter()
+    for shard, n in drawn:
+        loads[shard] += n
+    assert len(loads) > 1  # the tree deals to several
     again = mixing.taken_by_document(*mixing.mix(d.repartition(3))).collect()
     assert sorted((str(r["doc_id"]), r["taken"]) for r in again) == sorted((str(r["doc_id"]), r["taken"]) for r in got)
     mixed = mixing.materialise(draws).collect()
     assert sum(len(r["text"].split()) for r in mixed) == sum(r["taken"] for r in got)
 
 
+def test_fill_is_a_common_level_under_the_caps():
+    rng = random.Random(4)
+    for _ in range(200):
+        n = rng.randint(1, 12)
+        sizes, weights = [rng.choice([0, rng.randint(1, 10_000)]) for _ in range(n)], [rng.randint(1, 5) for _ in range(n)]
+        total = 1.5 * sum(sizes)
+        low, high = 0.0, 2.0 * max(sizes) + 1  # words a unit of weight, found by bisection
+        for _ in range(200):
+            level = (low + high) / 2
+            reached = sum(min(2.0 * s, level * w) for s, w in zip(sizes, weights)) >= total
+            low, high = (low, level) if reached else (level, high)
+        want = [min(2.0 * s, high * w) for s, w in zip(sizes, weights)]
+        assert np.allclose(mixing.fill(sizes, weights, total, 2.0), want, rtol=1e-6, atol=1e-6)
+
+
 def test_tree_deals_every_block_once():
     tree = mixing.Tree([7, 0, 20], 3, seed=1)
     shards = Counter((s, tree.shard(s, b)) for s, n in enumerate([7, 0, 20]) for b in range(n))
