@@ -24,6 +24,7 @@ RUN = ["run_id", "source"]
 
 # Empty pages in a row that end a run; pages between checkpoints per source.
 EMPTY_LIMIT = 10
+REFRESH_SECONDS = 10
 CHECKPOINT_EVERY = {"feed": 10, "events": 5}
 
 
@@ -179,6 +180,44 @@ def target_cut(
     return totals.where(before < target).withColumn("is_target_page", F.col("total") >= target)
 
 
+def late_target(
+    page_counts: DataFrame, target: int, saved: int = 0, every_seconds: int = REFRESH_SECONDS
+) -> DataFrame:
+    """The spans of time that a load goes on in when it learns the total every ``every_seconds`` only.
+
+    ``page_counts`` holds ``requested_at`` and ``new_rows`` per page.  The known total is a step
+    function of time: inside a span it is that of all spans before, and loading stops at the first
+    span that begins at the target or beyond.  One row per span with pages: ``span_start``, ``pages``,
+    ``new_rows``, ``known_total``, ``total``, ``is_target_span`` (the total reaches the target here) and
+    ``overshoot``, the rows beyond the target.  A page without a time counts as known from the start.
+
+    Pages are summed by span before anything is put in order, so what is sorted are spans, whatever the
+    number of pages in one.
+    """
+    width = every_seconds * 1_000_000
+    span = F.floor(F.unix_micros("requested_at") / F.lit(width)).cast("bigint")
+    spans = (
+        page_counts.groupBy(span.alias("_span"))
+        .agg(F.count("*").alias("pages"), F.sum("new_rows").cast("bigint").alias("new_rows"))
+        .withColumn("_order", F.coalesce("_span", F.lit(-(1 << 62))))
+    )
+    known = F.col("known_total")
+    totals = running(spans, [], "_order", {"known_total": Running("sum", F.col("new_rows"), before=True)})
+    return (
+        totals.withColumn("known_total", known + F.lit(saved))
+        .where(known < target)
+        .select(
+            F.timestamp_micros(F.col("_span") * F.lit(width)).alias("span_start"),
+            "pages",
+            "new_rows",
+            "known_total",
+            (known + F.col("new_rows")).alias("total"),
+            (known + F.col("new_rows") >= target).alias("is_target_span"),
+            F.greatest(known + F.col("new_rows") - F.lit(target), F.lit(0)).cast("bigint").alias("overshoot"),
+        )
+    )
+
+
 def pacing_audit(requests: DataFrame) -> DataFrame:
     """Was each request far enough from the one before it in its rate-limit bucket?
 

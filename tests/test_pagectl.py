@@ -162,6 +162,20 @@ def test_target_is_one_total_for_all_runs(spark):
     ]
 
 
+def test_target_is_seen_late(spark):
+    at = lambda s: datetime(2024, 1, 1, tzinfo=timezone.utc) + timedelta(seconds=s)
+    rows = [(at(1), 4), (at(9), 3), (at(10), 1), (at(19), 5), (at(45), 2), (at(46), 9), (at(60), 1)]
+    counts = spark.createDataFrame([*rows, (None, 2)], "requested_at timestamp, new_rows long")
+    out = pagectl.late_target(counts, 16, saved=1).orderBy("total").collect()
+    # Reached in the second span with pages, which the load only learns at its end: no span after it.
+    assert [(r["pages"], r["known_total"], r["total"], r["is_target_span"], r["overshoot"]) for r in out] == [
+        (1, 1, 3, False, 0), (2, 3, 10, False, 0), (2, 10, 16, True, 0),
+    ]
+    assert pagectl.late_target(counts, 17, saved=1).orderBy("total").collect()[-1]["overshoot"] == 10
+    assert pagectl.late_target(counts, 1000).count() == 5
+    assert pagectl.late_target(counts.limit(0), 5).count() == 0
+
+
 def test_pacing(spark):
     start = datetime(2024, 1, 1, tzinfo=timezone.utc)
     limit = {"x-ratelimit-limit": "10", "x-ratelimit-reset": "60"}

@@ -338,6 +338,16 @@ n AS (SELECT run_id, 'feed' AS source, seq, count(*) AS new_rows FROM win GROUP
 r AS (SELECT *, CAST(sum(new_rows) OVER (ORDER BY run_id, seq) AS BIGINT) AS total FROM n)
 SELECT run_id, source, seq, new_rows, total, total >= 3000 AS is_target_page FROM r
 WHERE total - new_rows < 3000"""),
+    "late_target": _with(_WIN, """,
+n AS (SELECT run_id, seq, count(*) AS new_rows FROM win GROUP BY 1, 2),
+asked_at AS (SELECT run_id, seq, max(epoch_us(ts)) + (right(run_id, 1)::BIGINT - 1) * 366 * 86400000000 AS us
+       FROM arr GROUP BY 1, 2),
+spans AS (SELECT us // 21600000000 * 21600000 AS span_ms, count(*) AS pages, CAST(sum(new_rows) AS BIGINT) AS new_rows
+          FROM n JOIN asked_at USING (run_id, seq) GROUP BY 1),
+r AS (SELECT *, CAST(sum(new_rows) OVER (ORDER BY span_ms) AS BIGINT) AS total FROM spans)
+SELECT span_ms, pages, new_rows, total - new_rows AS known_total, total, total >= 3000 AS is_target_span,
+       greatest(total - 3000, 0) AS overshoot
+FROM r WHERE total - new_rows < 3000"""),
     "pacing_audit": _with(_PACING, """
 SELECT run_id, bucket, seq, gap_ms, round(min_interval, 3) AS min_interval_ms,
        round(coalesce(greatest(min_interval - gap_ms, 0), 0), 3) AS wait_ms

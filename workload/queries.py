@@ -27,6 +27,7 @@ LATER_TS = datetime(2024, 3, 2, tzinfo=timezone.utc)
 SINCE_MS, UNTIL_MS = 1_704_844_800_000, 1_705_708_800_000  # 2024-01-10 and 2024-01-20
 START_MS, NOW_MS = 1_709_251_200_000, 1_709_251_237_000
 COUNT_TARGET = 3000
+LATE_SECONDS = 6 * 3600
 
 
 def typed(spark: SparkSession, sf_dir: str, log: str = "arrivals") -> DataFrame:
@@ -452,6 +453,15 @@ def target_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pagectl.target_cut(new, COUNT_TARGET)
 
 
+def late_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages are hours apart in this log, so the total is refreshed every six hours instead of ten seconds."""
+    keys = ["run_id", "source", "seq"]
+    new = loaded(spark, sf_dir).groupBy(*keys).agg(F.count("*").alias("new_rows"))
+    asked = landed(spark, sf_dir, "arrivals").select(*keys, "requested_at")
+    late = pagectl.late_target(new.join(asked, keys), COUNT_TARGET, every_seconds=LATE_SECONDS)
+    return late.withColumn("span_ms", F.unix_millis("span_start")).drop("span_start")
+
+
 def pacing_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     audit = pagectl.pacing_audit(requests(spark, sf_dir))
     return audit.select(
@@ -638,6 +648,7 @@ QUERIES: dict[str, Query] = {
     "stop_points": stop_points,
     "checkpoint_points": checkpoint_points,
     "target_cut": target_cut,
+    "late_target": late_target,
     "pacing_audit": pacing_audit,
     "export_ids": export_ids,
     "export_copy": export_copy,
