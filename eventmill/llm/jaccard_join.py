@@ -1,55 +1,52 @@
-"""N-gram Jaccard join by chosen paths.
-
-Each text is the set of its five-word shingles, and ``SAMPLES`` tokens are sampled from it by
-min-wise hashing.  A run sends every set down paths of sampled tokens: sets that share the token
-sampled at a coordinate meet in a bucket.  Buckets up to ``LIMIT`` sets are solved by brute force.
-In a larger one the sets near one of the bucket's pivots meet it in chunks, which links whatever is
-dense there; all others go on down the path, each child bucket sharing one more sampled token, until
-buckets are small.  Steps choose from ``DEEP`` further samples, drawn only for the sets of large buckets,
-so sets that share a long passage, whose samples mostly agree, fall apart after some more steps.  Runs
-are repeated until a pair at the threshold is found with the target recall; large buckets are split in
-``REPEATS`` ways.
-
-Brute force first compares samples (half of them must agree; at the threshold a pair fails that
-less than once in a thousand), then exact sets.  A bucket reports a spanning forest of its links and
-how many links each set has, not all pairs, so a group of copies costs links in proportion to its size.  Equal sets are one
-node from the start.
+"""N-gram Jaccard join by prefixes, exact.
+
+Each text is the set of its five-word shingles.  All shingles have one order: those that are frequent
+in a sample of the texts come last, by frequency, the others by hash.  Any order gives all links, a good
+one gives few candidates.  Two sets that reach the threshold share a shingle among the first
+``n - ceil(threshold * n) + 1`` of each, its prefix.
+
+Sets that share prefix shingles meet in tiles.  A set's head is the prefix shingle that most sets share;
+sets of one head and of similar size make a tile, or several of bounded size.  Two tiles are compared if
+their sizes allow a link and any of their sets share a prefix shingle, so each pair of sets is compared
+at most once, however many shingles it shares and however large its group is.  Bits of parity bound
+how much a pair differs; what passes the bound is compared by its whole sets.  A pair of tiles reports a spanning
+forest of its links and how many links each set has, not all pairs.  Equal sets are one node from the
+start.
+
+Groups of similar texts cost comparisons with the square of their size, in tasks of bounded size.
 """
 
 from __future__ import annotations
 
 import math
 from collections import deque
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from eventmill.llm.common import MAP_ROWS, keyed, stage, without
 
 WIDTH = 5
-SAMPLES = 24
-LIMIT = 256
+#: Sets of a tile, about.
 CHUNK = 240
-PIVOTS = 8
-#: Shingles that the sets of a bucket may have together before it counts as large.
-LIMIT_SHINGLES = 4_000_000
-DEPTH = 24
-DEEP = 240
-REPEATS = 2
-#: A set leaves a path if it agrees with a pivot in this share of so many further samples.
-NEAR_PIVOT = 0.9
-NEAR_SAMPLES = 48
+#: Shingles of a tile's sets together, about.
+TILE_SHINGLES = 2_000_000
+#: Texts, about, whose shingles are counted for the order, and shingles that are known as frequent.
+SAMPLE_TEXTS = 8192
+FREQUENT = 50_000
+FREQUENT_FROM = 3
 CACHED_WORDS = 400_000
 
 _MIX = [np.uint64(x) for x in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53)]
 _PLACE = np.array([xxhash.xxh64_intdigest(f"place{i}") | 1 for i in range(WIDTH)], dtype=np.uint64)
-_SEEDS = np.array(
-    [xxhash.xxh64_intdigest(f"sample{i}") | 1 for i in range(SAMPLES + DEEP)], dtype=np.uint64
-)
+_LAST = np.uint64(1 << 63)
+#: Rounding of a product with the threshold never unlinks a pair.
+SLACK = 1e-9
 
 
 class WordHash(dict):
@@ -81,171 +78,151 @@ def shingles(text: str, hashes: WordHash) -> np.ndarray:
     return np.unique(mixed(total + np.uint64(min(len(h), WIDTH))))
 
 
-def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(doc_id, row_no, md5, digest, n, samples); the digest is null for texts without words."""
+def sample_shingles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(shingle, c): in how many texts of a batch each shingle is."""
     hashes = WordHash()
     for batch in batches:
-        digests, counts, samples = [], [], []
-        for text in batch["text"]:
-            s = shingles(text, hashes)
-            counts.append(len(s))
-            if len(s):
-                digests.append(xxhash.xxh3_128_digest(s.tobytes()))
-                samples.append([int(mixed(s * seed).min().view(np.int64)) for seed in _SEEDS[:SAMPLES]])
-            else:
-                digests.append(None)
-                samples.append(None)
-        yield pd.DataFrame(
-            {k: batch[k] for k in ("doc_id", "row_no", "md5")} | {"digest": digests, "n": counts, "samples": samples}
-        )
+        sets = [shingles(t, hashes) for t in batch["text"]]
+        found, c = np.unique(np.concatenate([*sets, np.zeros(0, dtype=np.uint64)]), return_counts=True)
+        yield pd.DataFrame({"shingle": found.view(np.int64), "c": c})
+
+
+def frequent_shingles(texts: DataFrame) -> np.ndarray:
+    """Shingles of many texts of a sample of bounded size, the rarer ones first, at most ``FREQUENT``."""
+    share = max(1, texts.count() // SAMPLE_TEXTS)
+    sample = texts.select("text").filter(F.pmod(F.xxhash64("text"), F.lit(share)) == 0).distinct()
+    rows = (
+        sample.mapInPandas(sample_shingles, "shingle long, c long")
+        .groupBy("shingle")
+        .agg(F.sum("c").alias("c"))
+        .filter(F.col("c") >= FREQUENT_FROM)
+        .orderBy(F.desc("c"), "shingle")
+        .limit(FREQUENT)
+        .collect()
+    )
+    return np.array([r["shingle"] for r in rows[::-1]], dtype=np.int64).view(np.uint64)
 
 
-def runs_needed(threshold: float, recall: float) -> list[int]:
-    """Coordinates of the runs' first steps: runs are added until the target recall is reached.
+def prefix_size(n: int, threshold: float) -> int:
+    return n - math.ceil(threshold * n - SLACK) + 1
 
-    A run chooses each coordinate with probability 1 / (threshold * SAMPLES).
+
+def parities(s: np.ndarray) -> np.ndarray:
+    """Whether an odd number of shingles falls into each of 2 ** k >= 2 * len(s) cells, as bits.
+
+    Two sets differ in at least as many shingles as their bits do.
     """
-    need = math.ceil(math.log(1 - recall) / math.log(1 - threshold))
-    chosen: list[int] = []
-    run = 0
-    while len(chosen) < min(need, SAMPLES):
-        rng = np.random.Generator(np.random.Philox(key=[11, run]))
-        picked = np.flatnonzero(rng.random(SAMPLES) < 1 / (threshold * SAMPLES))
-        chosen += [int(c) for c in picked if int(c) not in chosen]
-        run += 1
-    return chosen
-
-
-def deep_samples(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(digest, samples): the further samples of each set."""
-    hashes, seeds = WordHash(), _SEEDS[SAMPLES:]
-    for batch in batches:
-        samples = []
-        for text in batch["text"]:
-            s = shingles(text, hashes)
-            least = np.full(len(seeds), np.iinfo(np.uint64).max, dtype=np.uint64)
-            for start in range(0, len(s), 512):
-                # Shingles are well mixed already; a product with an odd number puts them in a new order.
-                least = np.minimum(least, (s[start : start + 512, None] * seeds).min(axis=0))
-            samples.append(least.view(np.int64))
-        yield pd.DataFrame({"digest": batch["digest"], "samples": samples})
-
-
-def memberships(
-    sets: DataFrame, texts: Callable[[DataFrame], DataFrame], threshold: float, recall: float
-) -> DataFrame:
-    """(bucket, digest, home): buckets for brute force, all of bounded size.
+    cells = max(64, 1 << (2 * len(s) - 1).bit_length())
+    odd = np.bincount((s & np.uint64(cells - 1)).astype(np.int64), minlength=cells) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
+
+
+def folded(bits: np.ndarray, words: int) -> np.ndarray:
+    """The bits of fewer cells."""
+    while len(bits) > words:
+        bits = bits[: len(bits) // 2] ^ bits[len(bits) // 2 :]
+    return bits
 
-    ``home`` is the number of the run's first coordinate if the bucket comes from that alone, else -1.
-    ``texts`` gives (digest, text) of some digests; it is asked for those in large buckets.
+
+def sketch(frequent, threshold: float):
+    """(doc_id, row_no, md5, digest, n, prefix, odd); the digest is null for texts without words.
+
+    A prefix holds places in the common order, ascending as unsigned numbers; those of frequent
+    shingles are negative as signed ones.
     """
-    first = F.array(
-        *[F.xxhash64(F.lit(c), F.get("samples", F.lit(c))) for c in runs_needed(threshold, recall)]
-    )
-    paths = sets.select(F.posexplode(first).alias("home", "path"), "digest", "n")
-    elsewhere = F.lit(-1).alias("home")
-    deep, parts = None, []
-    for level in range(DEPTH):
-        ranked = [
-            F.struct((F.xxhash64("digest", F.lit(k)) if k else F.lit(0)).alias("h"), F.col("digest"))
-            for k in range(PIVOTS if level == 0 else PIVOTS // 2)
-        ]
-        sizes = (
-            paths.groupBy("path")
-            .agg(
-                F.count("*").alias("members"),
-                F.sum("n").alias("shingles"),
-                F.array_distinct(F.array(*[F.min(r)["digest"] for r in ranked])).alias("pivots"),
-            )
-            .filter("members > 1")
-            .withColumn("large", (F.col("members") > LIMIT) | (F.col("shingles") > LIMIT_SHINGLES))
-            .withColumn(
-                "chunks",
-                F.greatest(F.ceil(F.col("members") / CHUNK), F.ceil(F.col("shingles") / LIMIT_SHINGLES)),
-            )
-        )
-        # Written first: a join of two plain reads may be dealt anew where one path has most rows.
-        met = stage(paths.join(stage(sizes, "path-sizes"), "path"), "paths")
-        parts.append(met.filter("NOT large").select(F.col("path").alias("bucket"), "digest", "home"))
-        large = met.filter("large")
-        if large.isEmpty():
-            break
-        if deep is None:
-            deep = stage(
-                texts(large.select("digest").distinct()).mapInPandas(
-                    deep_samples, "digest binary, samples array<long>"
-                ),
-                "deep-samples",
-            )
-        heads = large.select("path", "chunks", "pivots").distinct()
-        parts.append(
-            heads.select(
-                "path", "pivots", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)).alias("i")
-            ).select(F.xxhash64("path", "i").alias("bucket"), F.explode("pivots").alias("digest"), elsewhere)
-        )
-        # Few of these have been sampled by the path itself, in which all its sets agree.
-        some = F.slice("samples", level * NEAR_SAMPLES % DEEP + 1, NEAR_SAMPLES)
-        pivot_samples = (
-            heads.select("path", F.explode("pivots").alias("digest"))
-            .join(deep, "digest")
-            .groupBy("path")
-            .agg(F.collect_list(some).alias("near"))  # at most PIVOTS of them
-        )
-        # A path goes on at 1 / threshold coordinates on average, so that similar pairs stay together
-        # about once and others fall apart; at one at least, so that no path ends early.  The first
-        # step is taken in several ways.
-        ways = REPEATS if level == 0 else 1
-        sure, chance = divmod(ways / threshold, 1)
-        more = F.pmod(F.xxhash64("path", F.lit(0)), F.lit(1000)) < int(round(chance * 1000))
-        steps = F.array_distinct(
-            F.transform(
-                F.sequence(F.lit(1), F.when(more, int(sure) + 1).otherwise(int(sure))),
-                lambda k: F.pmod(F.xxhash64("path", k), F.lit(DEEP)).cast("int"),
-            )
-        )
-        steps = F.transform(steps, lambda c: F.xxhash64("path", c, F.get("samples", c)))
-        agree = F.array_max(
-            F.transform(
-                "near",
-                lambda p: F.aggregate(
-                    F.zip_with(some, p, lambda a, b: (a == b).cast("int")), F.lit(0), lambda n, x: n + x
-                ),
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hashes, often = WordHash(), frequent.value
+        rank = np.argsort(often).astype(np.uint64)
+        often = np.sort(often)
+        for batch in batches:
+            digests, counts, prefixes, odd = [], [], [], []
+            for text in batch["text"]:
+                s = shingles(text, hashes)
+                counts.append(len(s))
+                if not len(s):
+                    digests.append(None)
+                    prefixes.append(None)
+                    odd.append(None)
+                    continue
+                odd.append(parities(s).tobytes())
+                digests.append(xxhash.xxh3_128_digest(s.tobytes()))
+                place = s >> np.uint64(1)
+                if len(often):
+                    at = np.minimum(np.searchsorted(often, s), len(often) - 1)
+                    known = often[at] == s
+                    place = np.concatenate([place[~known], np.sort(rank[at[known]]) | _LAST])
+                prefixes.append(place[: prefix_size(len(s), threshold)].view(np.int64))
+            yield pd.DataFrame(
+                {k: batch[k] for k in ("doc_id", "row_no", "md5")}
+                | {"digest": digests, "n": counts, "prefix": prefixes, "odd": odd}
             )
-        )
-        # After the last step all sets meet in chunks.
-        leaves = (agree >= NEAR_PIVOT * NEAR_SAMPLES) | F.lit(level + 1 == DEPTH)
-        on = stage(
-            large.drop("pivots")
-            .join(deep, "digest")
-            .join(pivot_samples, "path")
-            .select("path", "digest", "n", "chunks", leaves.alias("leaves"), steps.alias("steps")),
-            "large-paths",
-        )
-        # At the first step every set is in a chunk, so that a link to a pivot never waits for a path.
-        chunk = F.xxhash64("path", F.pmod(F.xxhash64("digest", "path"), F.col("chunks"))).alias("bucket")
-        parts.append(on.filter(F.col("leaves") | F.lit(level == 0)).select(chunk, "digest", elsewhere))
-        paths = on.filter("NOT leaves").select(elsewhere, F.explode("steps").alias("path"), "digest", "n")
-    every = parts[0]
-    for part in parts[1:]:
-        every = every.union(part)
-    return every.distinct()
-
-
-def once(buckets: DataFrame) -> DataFrame:
-    """Drop buckets of one set, and all but one of those with the same sets."""
-    same = (
-        buckets.groupBy("bucket")
+
+    return run
+
+
+def tiles(sets: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """(tile, node) of the sets that share prefix shingles, and (pair, first, second) of tiles to compare."""
+    rows = sets.select("node", "n", F.explode("prefix").alias("place"))
+    # Frequent shingles are few, and some are in very many prefixes: these rows stay where they are.
+    often = rows.filter("place < 0").groupBy("place").agg(F.count("*").alias("members"))
+    rare = rows.filter("place >= 0").withColumn("members", F.count("*").over(W.partitionBy("place")))
+    shared = stage(
+        rows.filter("place < 0")
+        .join(F.broadcast(often), "place")
+        .unionByName(rare, allowMissingColumns=True)
+        .filter("members > 1"),
+        "shared",
+    )
+    # Linked sets are of one class or of neighbouring ones.
+    size_class = F.floor(F.log(F.first("n")) / max(1.01 * math.log(1 / threshold), 0.01)).cast("int")
+    heads = stage(
+        shared.groupBy("node").agg(
+            F.max(F.struct("members", "place"))["place"].alias("head"),
+            size_class.alias("size_class"),
+            F.first("n").alias("n"),
+            F.collect_list("place").alias("places"),  # as many as the prefix has, at most
+        ),
+        "heads",
+    )
+    crowds = stage(
+        heads.groupBy("head", "size_class")
+        .agg(F.ceil(F.greatest(F.count("*") / CHUNK, F.sum("n") / TILE_SHINGLES)).alias("chunks"))
+        .filter("chunks > 1"),
+        "crowds",
+    )
+    chunk = F.pmod(F.xxhash64("node"), F.coalesce("chunks", F.lit(1).cast("bigint")))
+    of = stage(
+        heads.join(crowds, ["head", "size_class"], "left").select(
+            F.xxhash64("head", "size_class", chunk).alias("tile"), "size_class", "node", "n", "places"
+        ),
+        "tiles",
+    )
+    met = stage(
+        of.select("tile", "size_class", "n", F.explode("places").alias("place"))
+        .groupBy("place", "size_class", "tile")
+        .agg(F.min("n").alias("least"), F.max("n").alias("most")),
+        "tile-shingles",
+    )
+    # Sets of a and b shingles, a >= b, reach the threshold only if their prefixes share at least
+    # t / (1 + t) * (b - t * a) shingles, whichever prefix ends first.
+    need = threshold / (1 + threshold) * (F.col("least") - threshold * F.col("most"))
+    apart = (
+        met.alias("a")
+        .join(met.alias("b"), "place")
+        .filter("a.tile < b.tile AND abs(a.size_class - b.size_class) <= 1")
+        .groupBy(F.col("a.tile").alias("first"), F.col("b.tile").alias("second"))
         .agg(
-            F.count("*").alias("members"),
-            F.sum(F.xxhash64("digest").cast("decimal(38,0)")).alias("a"),
-            F.sum(F.xxhash64(F.lit(1), "digest").cast("decimal(38,0)")).alias("b"),
+            F.count("*").alias("common"),
+            F.min(F.least("a.least", "b.least")).alias("least"),
+            F.max(F.greatest("a.most", "b.most")).alias("most"),
         )
-        .filter("members > 1")
-        .groupBy("members", "a", "b")
-        .agg(F.min("bucket").alias("bucket"))
-        .select("bucket")
+        .filter(F.col("common") >= need - 1e-6)
+        .select("first", "second")
     )
-    return buckets.join(same, "bucket", "left_semi")
+    inside = of.groupBy("tile").count().filter("count > 1").select(F.col("tile").alias("first"), F.col("tile").alias("second"))
+    pairs = stage(apart.unionByName(inside).withColumn("pair", F.monotonically_increasing_id()), "tile-pairs")
+    return of.select("tile", "node"), pairs
 
 
 def grouped(batches: Iterator[pd.DataFrame], key: str) -> Iterator[pd.DataFrame]:
@@ -265,19 +242,6 @@ def grouped(batches: Iterator[pd.DataFrame], key: str) -> Iterator[pd.DataFrame]
         yield pd.concat(open_) if len(open_) > 1 else open_[0]
 
 
-def alike_samples(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Members of sorted buckets that agree in half of the samples with another member."""
-    for group in grouped(batches, "bucket"):
-        s = np.stack(group["samples"].to_numpy())
-        agree = np.zeros((len(s), len(s)), dtype=np.int16)
-        for c in range(SAMPLES):
-            agree += s[:, c, None] == s[None, :, c]
-        np.fill_diagonal(agree, 0)
-        active = agree.max(axis=1) * 2 >= SAMPLES
-        if active.any():
-            yield group.loc[active, ["bucket", "digest", "home"]]
-
-
 def overlaps(sets: list[np.ndarray]) -> np.ndarray:
     """Sizes of all intersections, by products of 0/1 matrices over the shared shingles."""
     m = len(sets)
@@ -301,31 +265,55 @@ def overlaps(sets: list[np.ndarray]) -> np.ndarray:
     return result
 
 
-def links(threshold: float, coordinates: list[int]):
-    """Links of sorted buckets with exact Jaccard similarity of the threshold or more.
+def to_compare(side: np.ndarray) -> np.ndarray:
+    """Which members of a pair of tiles are compared: those of different tiles, or all of a single tile."""
+    if side.min() == side.max():
+        return ~np.eye(len(side), dtype=bool)
+    return side[:, None] != side[None, :]
+
 
-    Rows (a, b, elsewhere, n) with b are spanning links; ``elsewhere`` says that no bucket of one
-    coordinate holds both sets.  All links inside such a bucket are counted, not listed: rows without b
-    say how many documents link with set a there, each pair in the first of the buckets that hold both.
+def alike_parities(threshold: float):
+    """Members of sorted pairs of tiles whose parities allow a link with another member."""
+    share = (1 - threshold) / (1 + threshold)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for group in grouped(batches, "pair"):
+            if len(group) < 2:
+                continue
+            n = group["n"].to_numpy().astype(np.int64)
+            bits = [np.frombuffer(x, dtype=np.uint64) for x in group["odd"]]
+            words = min(map(len, bits))
+            bits = np.stack([folded(x, words) for x in bits])
+            apart = np.stack([np.bitwise_count(bits ^ x).sum(axis=1, dtype=np.int64) for x in bits])
+            may = apart <= share * (n[:, None] + n[None, :]) + 1e-6
+            active = (may & to_compare(group["side"].to_numpy())).any(axis=1)
+            if active.any():
+                yield group.loc[active, ["pair", "side", "node"]]
+
+    return run
+
+
+def links(threshold: float):
+    """Links of sorted pairs of tiles with exact Jaccard similarity of the threshold or more.
+
+    Rows (a, b, n) with b are spanning links; rows without b say how many documents of the pair of
+    tiles link with set a.
     """
-    of_homes = np.array(coordinates, dtype=np.int64)
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for group in grouped(batches, "bucket"):
+        for group in grouped(batches, "pair"):
             if len(group) < 2:
                 continue
-            # By digest, so that the buckets of a dense group hang it on the same few sets and
-            # their links coincide; a bucket's first pivot is its smallest digest.
-            group = group.sort_values("digest")
-            digests = group["digest"].tolist()
+            # By node, so that a dense group hangs on the same few sets in every pair of tiles.
+            group = group.sort_values("node")
+            nodes = group["node"].tolist()
             sets = [np.frombuffer(s, dtype=np.uint64) for s in group["shingles"]]
             size = np.array([len(s) for s in sets])
             both = overlaps(sets)
             union = size[:, None] + size[None, :] - both
-            linked = both >= threshold * union - 1e-9
-            np.fill_diagonal(linked, False)
+            linked = (both >= threshold * union - SLACK) & to_compare(group["side"].to_numpy())
             seen = np.zeros(len(sets), dtype=bool)
-            pairs = []
+            rows = []
             for root in range(len(sets)):
                 if seen[root]:
                     continue
@@ -336,31 +324,14 @@ def links(threshold: float, coordinates: list[int]):
                     for other in np.flatnonzero(linked[at] & ~seen):
                         seen[other] = True
                         edge.append(int(other))
-                        pairs.append((min(at, int(other)), max(at, int(other))))
-            if not pairs:
+                        rows.append((nodes[at], nodes[int(other)], 0))
+            if not rows:
                 continue
-            samples = np.stack(group["samples"].to_numpy())[:, of_homes]
-            masks = group["homes"].to_numpy()
-            home = int(group["home"].iloc[0])
-
-            def meet(i, j, first):
-                """Whether both sets lie in the bucket of one of the first coordinates."""
-                found = np.zeros(len(i), dtype=bool)
-                common = masks[i] & masks[j]
-                for c in range(first):
-                    found |= (samples[i, c] == samples[j, c]) & (common >> c & 1 == 1)
-                return found
-
-            i, j = np.array(pairs).T
-            met = meet(i, j, len(of_homes))
-            rows = [(digests[a], digests[b], not m, 0) for (a, b), m in zip(pairs, met)]
-            if home >= 0:
-                i, j = np.nonzero(linked)
-                first = ~meet(i, j, home)
-                copies = group["copies"].to_numpy()
-                owned = np.bincount(i[first], weights=copies[j[first]], minlength=len(sets))
-                rows += [(digests[k], None, False, int(owned[k])) for k in np.flatnonzero(owned)]
-            yield pd.DataFrame(rows, columns=["a", "b", "elsewhere", "n"])
+            number = linked @ group["copies"].to_numpy()
+            rows += [(nodes[k], None, int(number[k])) for k in np.flatnonzero(number)]
+            out = pd.DataFrame(rows, columns=["a", "b", "n"])
+            out["b"] = out["b"].astype("Int64")
+            yield out
 
     return solve
 
@@ -369,7 +340,7 @@ def shingle_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     hashes = WordHash()
     for batch in batches:
         sets = [shingles(t, hashes).tobytes() for t in batch["text"]]
-        yield pd.DataFrame({"digest": batch["digest"], "shingles": sets})
+        yield pd.DataFrame({"node": batch["node"], "shingles": sets})
 
 
 def marked(rows: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -422,13 +393,12 @@ def classes(
     doc_id: str = "doc_id",
     row_no: str | None = None,
     threshold: float = 0.8,
-    recall: float = 0.9999,
 ) -> DataFrame:
     """One row per document: doc_id, row_no, class_id, n_links and class_key, null without words.
 
     ``class_id`` is the smallest id among the documents that links connect; ``n_links`` counts the other
-    documents that a document links with, those with the same shingles too.  It is whole where similar
-    texts meet in a bucket of at most ``LIMIT`` sets; of a larger group it counts the spanning links.  Words are compared in lower case.  Texts without words, null ones too, are
+    documents that a document links with, those with the same shingles too.  Both are exact.  Words are
+    compared in lower case.  Texts without words, null ones too, are
     classes of their own with no links; a null id counts as the largest, and a class of null ids
     only has a null class_id.  Repeated rows are copies
     of each other.  An empty table gives no rows.  Other columns are left out, whatever their names.
@@ -441,9 +411,11 @@ def classes(
         F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")))).alias("md5"),
         F.coalesce(F.col(text), F.lit("")).alias("text"),
     )
+    frequent = docs.sparkSession.sparkContext.broadcast(frequent_shingles(plain))
     sketched = stage(
         plain.mapInPandas(
-            sketch, f"doc_id long, row_no {number_type}, md5 binary, digest binary, n int, samples array<long>"
+            sketch(frequent, threshold),
+            f"doc_id long, row_no {number_type}, md5 binary, digest binary, n int, prefix array<long>, odd binary",
         ),
         "sketches",
     )
@@ -451,66 +423,52 @@ def classes(
         sketched.filter("digest IS NOT NULL")
         .groupBy("digest")
         .agg(
-            F.min(F.struct("md5", "doc_id", "n", "samples")).alias("one"),
+            F.min(F.struct("md5", "doc_id", "n", "prefix", "odd")).alias("one"),
             F.min("doc_id").alias("least_id"),
             F.count("*").alias("copies"),
         )
-        .select("digest", "one.*", "least_id", "copies"),
+        .select(F.monotonically_increasing_id().alias("node"), "digest", "one.*", "least_id", "copies"),
         "sets",
     )
 
-    def texts(digests: DataFrame) -> DataFrame:
-        wanted = stage(digests.join(nodes.select("digest", "md5", "doc_id"), "digest"), "wanted")
+    def texts(wanted: DataFrame) -> DataFrame:
+        """(node, text) of some nodes."""
+        wanted = stage(wanted.join(nodes.select("node", "md5", "doc_id"), "node"), "wanted")
         return (
             marked(plain.select("md5", "doc_id", "text"), wanted)
             .alias("t")
             .join(wanted.alias("w"), F.expr("t.md5 = w.md5 AND t.doc_id <=> w.doc_id"))
-            .select("digest", "text")
-            .dropDuplicates(["digest"])
+            .select("node", "text")
+            .dropDuplicates(["node"])
         )
 
-    buckets = once(stage(memberships(nodes, texts, threshold, recall), "buckets"))
-    with_samples = buckets.join(nodes.select("digest", "samples"), "digest").repartition("bucket")
-    active = stage(
-        with_samples.sortWithinPartitions("bucket").mapInPandas(alike_samples, "bucket long, digest binary, home int"),
-        "candidates",
-    )
-    pairs = stage(once(active), "alike")
-    sets = texts(pairs.select("digest").distinct()).mapInPandas(shingle_sets, "digest binary, shingles binary")
-    homes = pairs.groupBy("digest").agg(
-        F.bit_or(
-            F.when(F.col("home") >= 0, F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("home"))).otherwise(0)
-        ).alias("homes")
+    of, pairs = tiles(nodes, threshold)
+    sides = F.when(F.col("first") == F.col("second"), F.array("first")).otherwise(F.array("first", "second"))
+    profiles = of.join(nodes.select("node", "n", "odd"), "node")
+    members = pairs.select("pair", F.posexplode(sides).alias("side", "tile")).join(profiles, "tile")
+    alike = stage(
+        members.select("pair", "side", "node", "n", "odd")
+        .repartition("pair")
+        .sortWithinPartitions("pair")
+        .mapInPandas(alike_parities(threshold), "pair long, side int, node long"),
+        "alike",
     )
-    known = homes.join(nodes.select("digest", "samples", "copies"), "digest").join(sets, "digest")
+    sets = texts(alike.select("node").distinct()).mapInPandas(shingle_sets, "node long, shingles binary")
+    known = sets.join(nodes.select("node", "copies"), "node")
     found = stage(
-        pairs.join(known, "digest")
-        .repartition("bucket")
-        .sortWithinPartitions("bucket")
-        .mapInPandas(links(threshold, runs_needed(threshold, recall)), "a binary, b binary, elsewhere boolean, n long")
-        .groupBy("a", "b")
-        .agg(F.max("elsewhere").alias("elsewhere"), F.sum("n").alias("n")),
+        alike.join(known, "node")
+        .repartition("pair")
+        .sortWithinPartitions("pair")
+        .mapInPandas(links(threshold), "a long, b long, n long"),
         "links",
     )
     edges = found.filter("b IS NOT NULL").select("a", "b")
-    apart = found.filter("elsewhere")
-    far = (
-        apart.select(F.col("a").alias("digest"), F.col("b").alias("other"))
-        .unionByName(apart.select(F.col("b").alias("digest"), F.col("a").alias("other")))
-        .join(nodes.select(F.col("digest").alias("other"), F.col("copies").alias("n")), "other")
-    )
-    degree = (
-        found.filter("b IS NULL")
-        .select(F.col("a").alias("digest"), "n")
-        .unionByName(far.select("digest", "n"))
-        .groupBy("digest")
-        .agg(F.sum("n").alias("links"))
-    )
+    degree = found.filter("b IS NULL").groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("links"))
     labelled = (
-        nodes.select("digest", "least_id", "copies")
-        .join(components(edges).withColumnRenamed("node", "digest"), "digest", "left")
-        .join(degree, "digest", "left")
-        .withColumn("label", F.coalesce("label", "digest"))
+        nodes.select("node", "digest", "least_id", "copies")
+        .join(components(edges).withColumnRenamed("label", "class_node"), "node", "left")
+        .join(degree, "node", "left")
+        .withColumn("label", F.coalesce("class_node", "node"))
     )
     of_class = labelled.groupBy("label").agg(F.min("least_id").alias("class_id"))
     per_set = stage(

@@ -357,6 +357,43 @@ def test_pairs_in_a_large_group_with_a_shared_passage(spark):
     assert all(c in (i, i - i % 2) for i, c in got.items())
 
 
+def test_every_link_of_a_large_group_is_counted(spark):
+    # Beyond one tile: copies with 1 to 10 % of the words changed, some at the threshold, some below.
+    rng, base, rows = random.Random(5), prose(70, 120).split(), []
+    for k in range(700):
+        copy = list(base)
+        for _ in range(rng.randint(1, 3)):
+            copy[rng.randrange(120)] = f"own{k}x{rng.randrange(9)}"
+        rows.append((k, " ".join(copy[: 120 - rng.randrange(12)])))
+    hashes = jaccard_join.WordHash()
+    sets = [jaccard_join.shingles(t, hashes) for _, t in rows]
+    size, both = np.array([len(x) for x in sets]), jaccard_join.overlaps(sets)
+    linked = 10 * both >= 8 * (size[:, None] + size[None, :] - both)
+    np.fill_diagonal(linked, False)
+    got = {r["doc_id"]: r["n_links"] for r in jaccard_join.classes(docs(spark, rows)).collect()}
+    want = linked.sum(axis=1).tolist()
+    assert [got[k] for k in range(700)] == want and 50 < np.mean(want) < 350
+
+
+def test_parities_differ_no_more_than_the_sets():
+    rng = np.random.Generator(np.random.PCG64(3))
+    for n in (1, 5, 70, 900):
+        both, x, y = (rng.integers(0, 1 << 63, k).astype(np.uint64) for k in (n, n // 4, n // 3))
+        a, b = (jaccard_join.parities(np.concatenate([both, z])) for z in (x, y))
+        words = min(len(a), len(b))
+        apart = int(np.bitwise_count(jaccard_join.folded(a, words) ^ jaccard_join.folded(b, words)).sum())
+        assert 0.6 * (len(x) + len(y)) <= apart <= len(x) + len(y)
+
+
+def test_pairs_at_the_threshold_among_texts_with_a_shared_passage(spark):
+    passage, rows = prose(61, 190), []
+    for k in range(400):
+        common = prose(3000 + k, 16)
+        rows += [(2 * k + i, f"{passage} {common} {prose(19000 + 2 * k + i, 20)}") for i in range(2)]
+    got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in jaccard_join.classes(docs(spark, rows)).collect()}
+    assert got == {i: (i - i % 2, 1) for i in range(800)}
+
+
 def test_packing_holds_every_token_once(spark):
     rng = random.Random(2)
     rows = [(i, prose(i, rng.randint(0, 900)) + " It's 12% <|endoftext|>, naïve x") for i in range(60)]
