@@ -39,7 +39,7 @@ STAGES = [
     ("packing", pack_sequences),
 ]
 
-#: The chosen-path join and the packing cannot be put in SQL; tests use brute force instead.
+#: The prefix join and the packing cannot be put in SQL; tests use brute force instead.
 ORACLE_SQL = None
 
 

@@ -13,8 +13,10 @@ from collections.abc import Iterable
 
 import numpy as np
 
-#: Words whose two parts are one piece each: Latin letters, then punctuation.
-SIMPLE = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:]*)")
+#: Signs that are one piece together; an apostrophe may join letters.
+SIGNS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: Words whose two parts are one piece each: Latin letters, then signs.
+SIMPLE = re.compile(f"([A-Za-zÀ-ÖØ-öø-ÿ]+)([{re.escape(SIGNS.decode())}]*)")
 
 
 class WordTokens:
@@ -24,7 +26,7 @@ class WordTokens:
     again moves to the newer, so frequent words stay when rare ones are dropped.
     """
 
-    def __init__(self, path: str, stored: int = 900_000):
+    def __init__(self, path: str, stored: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -59,7 +61,7 @@ class WordTokens:
     def _learn(self, words: Iterable[bytes]) -> None:
         simple, odd = [], []
         for word in words:
-            core = word.rstrip(b".,!?;:")
+            core = word.rstrip(SIGNS)
             if core.isalpha():  # of bytes: A-Z and a-z only
                 simple.append((word, core.lower().decode(), word[len(core) :].decode()))
                 continue

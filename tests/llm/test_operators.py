@@ -417,6 +417,31 @@ def test_packing_holds_every_token_once(spark):
         assert end & (end - 1) == 0 and end <= 2048
 
 
+def test_words_with_signs_behind_are_encoded_in_parts(monkeypatch):
+    from tokenizers import Tokenizer
+
+    from eventmill.llm.tokens import SIGNS, WordTokens
+
+    tokens, model = WordTokens(packing.tokenizer_path()), Tokenizer.from_file(packing.tokenizer_path())
+    plain = [f"heat{SIGNS[i:i + 3].decode()} naïve{SIGNS[i:i + 2].decode()} Word{SIGNS[i:i + 1].decode()}" for i in range(len(SIGNS))]
+    odd = "don't it's's <|endoftext|> a1% $5 a'% x<|endoftext|>"
+    want = [np.array(model.encode(t, add_special_tokens=False).ids, dtype="<u2").tobytes() for t in [*plain, odd]]
+    assert tokens.ids([odd]) == want[-1:]
+    monkeypatch.setattr(tokens, "_single", None)
+    assert tokens.ids(plain) == want[:-1]
+
+
+def test_words_beyond_the_vocabulary_are_counted_exactly(spark, monkeypatch):
+    d = docs(spark, [(i, prose(i % 7, 40) + f" own{i}") for i in range(40)])
+
+    def scored():
+        return {r["doc_id"]: (r["n_tokens"], r["n_known"], round(r["base_score"], 8)) for r in maxent_lm.score(d).collect()}
+
+    whole = scored()
+    monkeypatch.setattr(maxent_lm, "VOCABULARY", 30)
+    assert scored() == whole
+
+
 def test_language_model_beats_the_base_on_held_out_texts(spark):
     rng = random.Random(4)
     rows = []
