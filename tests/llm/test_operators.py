@@ -431,6 +431,42 @@ def test_words_with_signs_behind_are_encoded_in_parts(monkeypatch):
     assert tokens.ids(plain) == want[:-1]
 
 
+def test_words_of_common_signs_are_encoded_without_the_whole_way(monkeypatch):
+    from tokenizers import Tokenizer
+
+    from eventmill.llm.tokens import WordTokens
+
+    tokens, model = WordTokens(packing.tokenizer_path(), stored=20), Tokenizer.from_file(packing.tokenizer_path())
+
+    def want(texts):
+        return [np.array(model.encode(t, add_special_tokens=False).ids, dtype="<u2").tobytes() for t in texts]
+
+    common = ["It's 12% of $3,400.50 (ÉTÉ naïve) x-y_z's", "don't 'tis I'LL a'% \"quoted.\" http://a.b/c?d=1", "a1b22 ß ÿ É. ..."]
+    rng = random.Random(7)
+    signs = [*"abEHJTWYK01 \t\n''.,%<|>", "\u0301", "\u0331", "\u030c", "é", "\u00d7", "\u00b5", "\u00a0", "\u0085", "\u0130", "\u212a",
+             "\x1c", "<|endoftext|>", "<|ENDOFTEXT|>"]
+    mixed = ["".join(rng.choice(signs) for _ in range(30)) for _ in range(2000)]
+    assert tokens.ids(mixed) == want(mixed)
+    monkeypatch.setattr(tokens, "_single", None)
+    assert tokens.ids(common) == want(common)
+
+
+def test_shards_of_more_pieces_than_fit_a_key_are_indexed_alike():
+    rng = np.random.default_rng(5)
+    pieces = [rng.integers(2, 40, 1 + i % 3).astype("<u2") for i in range(300)]
+    few, many = packing.Index(pieces), packing.Index([*pieces, *[np.array([1], dtype="<u2")] * 65_400])
+    for index, n in ((few, 300), (many, 65_700)):
+        for i in range(0, 300, 7):
+            terms = index.of_doc[index.doc_first[i] : index.doc_first[i + 1]]
+            weight = {}
+            for t in terms:
+                at = np.arange(index.first[t], index.first[t + 1])
+                weight[t] = index.weight[at[index.doc[at] == i]][0]
+            assert sorted(index.terms[terms]) == sorted(set(pieces[i].tolist()))
+            assert list(terms) == sorted(weight, key=lambda t: (-weight[t], t))
+        assert index.n == n and index.doc_first[-1] == len(index.doc)
+
+
 def test_words_beyond_the_vocabulary_are_counted_exactly(spark, monkeypatch):
     d = docs(spark, [(i, prose(i % 7, 40) + f" own{i}") for i in range(40)])
 
