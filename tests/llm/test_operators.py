@@ -478,6 +478,18 @@ def test_words_beyond_the_vocabulary_are_counted_exactly(spark, monkeypatch):
     assert scored() == whole
 
 
+def test_gradient_sums_of_groups_have_the_bits_of_sums_one_by_one():
+    rng = np.random.default_rng(6)
+    for n in (1, 9, 400, 30_000):
+        values = rng.random((n, 6)).astype(np.float32)
+        rows = np.sort(np.minimum(rng.zipf(1.3, n), 5000))
+        begin = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
+        sizes = np.diff(np.append(begin, n))
+        order, large_first = rng.permutation(n), np.argsort(-sizes, kind="stable")
+        got = maxent_lm.group_sums(values, order, begin[large_first], sizes[large_first])
+        assert (got == np.add.reduceat(values[order], begin, axis=0)[large_first]).all()
+
+
 def test_language_model_beats_the_base_on_held_out_texts(spark):
     rng = random.Random(4)
     rows = []
