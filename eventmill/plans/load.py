@@ -13,6 +13,7 @@ from eventmill.operators.normalize import loadable, normalize, rejected
 from eventmill.operators.pagectl import keep_until, stop_points
 from eventmill.operators.reports import latest_checkpoint
 from eventmill.schemas import CORRUPT
+from eventmill.session import splits_of
 from eventmill.sinks.export import export_ids
 from eventmill.sinks.tables import (
     Tables,
@@ -24,6 +25,9 @@ from eventmill.sinks.tables import (
 )
 from eventmill.sources.envelope import bad_bodies, bad_lines, decode, flatten, headers
 
+#: Staged pages that a task unpacks.  In memory, where a task sorts them, their events take some 20 times the room.
+SPLIT = "16m"
+
 
 @dataclass(frozen=True)
 class LoadResult:
@@ -109,7 +113,8 @@ def load_staged(
     checked = Observation()
     counted = rows.observe(checked, F.count_if(F.col("reason").isNotNull()).alias("n"))
     bounds = loadable(rows) if narrow_by_id else None
-    inserted = insert_if_absent(spark, loadable(counted), tables, bounds, batch=batch, filter_from=filter_from)
+    with splits_of(staged.sparkSession, SPLIT):
+        inserted = insert_if_absent(spark, loadable(counted), tables, bounds, batch=batch, filter_from=filter_from)
 
     n_rejected = 0
     bodies = bad_bodies(staged) if cut is None else bad_bodies(staged).unionByName(cut)

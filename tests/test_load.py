@@ -403,3 +403,22 @@ def test_stream_at_an_interval(spark, tables, tmp_path):
     finally:
         query.stop()
     assert ids(spark, tables) == names(1, 2)
+
+
+def test_a_load_unpacks_few_staged_pages_in_a_task(spark, tables, monkeypatch):
+    """Rows of a whole split are sorted at once, so its size bounds the memory of a task, whatever the input."""
+    tasks, insert, key = [], load.insert_if_absent, "spark.sql.files.maxPartitionBytes"
+
+    def counting(session, events, *args, **more):
+        tasks.append(events.rdd.getNumPartitions())
+        return insert(session, events, *args, **more)
+
+    monkeypatch.setattr(load, "insert_if_absent", counting)
+    before = spark.conf.get(key)
+    many = pages(spark, *[[k, k + 100] for k in range(96)]).repartition(24)
+    assert load.load_pages(spark, many, tables, STAMP).inserted == 192
+    monkeypatch.setattr(load, "SPLIT", "1m")
+    assert load.load_pages(spark, many.withColumn("run_id", F.lit("r2")), tables, STAMP).inserted == 0
+    assert tasks[1] == 24 > tasks[0]
+    assert spark.conf.get(key) == before
+    assert ids(spark, tables) == names(*range(96), *range(100, 196))
