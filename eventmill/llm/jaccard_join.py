@@ -7,9 +7,11 @@ one gives few candidates.  Two sets that reach the threshold share a shingle amo
 
 Sets that share prefix shingles meet in tiles.  A set's head is the prefix shingle that most sets share;
 sets of one head and of similar size make a tile, or several of bounded size.  Two tiles are compared if
-their sizes allow a link and any of their sets share a prefix shingle, so each pair of sets is compared
-at most once, however many shingles it shares and however large its group is.  Bits of parity bound
-how much a pair differs; what passes the bound is compared by its whole sets.  A pair of tiles reports a spanning
+any of their sets share prefix shingles, so each pair of sets is compared at most once, however many
+shingles it shares and however large its group is.  Only those parts of two tiles come together, sets
+of about one size, whose sizes and number of shared prefix shingles allow a link: shingles that texts
+share by chance grow with the square of the input, but few of them pass.  Bits of parity bound how much
+a pair differs; what passes the bound is compared by its whole sets.  A pair of tiles reports a spanning
 forest of its links and how many links each set has, not all pairs.  Equal sets are one node from the
 start.
 
@@ -36,6 +38,8 @@ WIDTH = 5
 CHUNK = 240
 #: Shingles of a tile's sets together, about.
 TILE_SHINGLES = 2_000_000
+#: Parts, by size, of the sets of a tile.
+PARTS = 16
 #: Texts, about, whose shingles are counted for the order, and shingles that are known as frequent.
 SAMPLE_TEXTS = 8192
 FREQUENT = 50_000
@@ -125,10 +129,10 @@ def folded(bits: np.ndarray, words: int) -> np.ndarray:
 
 
 def sketch(frequent, threshold: float):
-    """(doc_id, row_no, md5, digest, n, prefix, odd); the digest is null for texts without words.
+    """(node, doc_id, row_no, md5, digest, n, prefix, often, odd); the digest is null for texts without words.
 
     A prefix holds places in the common order, ascending as unsigned numbers; those of frequent
-    shingles are negative as signed ones.
+    shingles are negative as signed ones and stand in ``often``.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -136,13 +140,14 @@ def sketch(frequent, threshold: float):
         rank = np.argsort(often).astype(np.uint64)
         often = np.sort(often)
         for batch in batches:
-            digests, counts, prefixes, odd = [], [], [], []
+            digests, counts, prefixes, frequent_places, odd = [], [], [], [], []
             for text in batch["text"]:
                 s = shingles(text, hashes)
                 counts.append(len(s))
                 if not len(s):
                     digests.append(None)
                     prefixes.append(None)
+                    frequent_places.append(None)
                     odd.append(None)
                     continue
                 odd.append(parities(s).tobytes())
@@ -152,34 +157,40 @@ def sketch(frequent, threshold: float):
                     at = np.minimum(np.searchsorted(often, s), len(often) - 1)
                     known = often[at] == s
                     place = np.concatenate([place[~known], np.sort(rank[at[known]]) | _LAST])
-                prefixes.append(place[: prefix_size(len(s), threshold)].view(np.int64))
+                place = place[: prefix_size(len(s), threshold)].view(np.int64)
+                cut = len(place) - int((place < 0).sum())
+                prefixes.append(place[:cut])
+                frequent_places.append(place[cut:])
             yield pd.DataFrame(
-                {k: batch[k] for k in ("doc_id", "row_no", "md5")}
-                | {"digest": digests, "n": counts, "prefix": prefixes, "odd": odd}
+                {k: batch[k] for k in ("node", "doc_id", "row_no", "md5")}
+                | {"digest": digests, "n": counts, "prefix": prefixes, "often": frequent_places, "odd": odd}
             )
 
     return run
 
 
 def tiles(sets: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """(tile, node) of the sets that share prefix shingles, and (pair, first, second) of tiles to compare."""
-    rows = sets.select("node", "n", F.explode("prefix").alias("place"))
+    """(tile, part, node) of the sets that share prefix shingles, and (pair, side, tile, part) to compare.
+
+    ``sets`` has node, n, prefix and often.
+    """
     # Frequent shingles are few, and some are in very many prefixes: these rows stay where they are.
-    often = rows.filter("place < 0").groupBy("place").agg(F.count("*").alias("members"))
-    rare = rows.filter("place >= 0").withColumn("members", F.count("*").over(W.partitionBy("place")))
+    hot = sets.select("node", "n", F.explode("often").alias("place"))
+    often = hot.groupBy("place").agg(F.count("*").alias("members"))
+    rare = sets.select("node", "n", F.explode("prefix").alias("place")).withColumn(
+        "members", F.count("*").over(W.partitionBy("place"))
+    )
     shared = stage(
-        rows.filter("place < 0")
-        .join(F.broadcast(often), "place")
-        .unionByName(rare, allowMissingColumns=True)
-        .filter("members > 1"),
+        hot.join(F.broadcast(often), "place").unionByName(rare, allowMissingColumns=True).filter("members > 1"),
         "shared",
     )
     # Linked sets are of one class or of neighbouring ones.
-    size_class = F.floor(F.log(F.first("n")) / max(1.01 * math.log(1 / threshold), 0.01)).cast("int")
+    width = max(1.01 * math.log(1 / threshold), 0.01)
     heads = stage(
         shared.groupBy("node").agg(
             F.max(F.struct("members", "place"))["place"].alias("head"),
-            size_class.alias("size_class"),
+            F.floor(F.log(F.first("n")) / width).cast("int").alias("size_class"),
+            F.floor(F.log(F.first("n")) / width * PARTS).cast("int").alias("part"),
             F.first("n").alias("n"),
             F.collect_list("place").alias("places"),  # as many as the prefix has, at most
         ),
@@ -194,35 +205,58 @@ def tiles(sets: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
     chunk = F.pmod(F.xxhash64("node"), F.coalesce("chunks", F.lit(1).cast("bigint")))
     of = stage(
         heads.join(crowds, ["head", "size_class"], "left").select(
-            F.xxhash64("head", "size_class", chunk).alias("tile"), "size_class", "node", "n", "places"
+            F.xxhash64("head", "size_class", chunk).alias("tile"), "part", "node", "n", "places"
         ),
         "tiles",
     )
     met = stage(
-        of.select("tile", "size_class", "n", F.explode("places").alias("place"))
-        .groupBy("place", "size_class", "tile")
+        of.select("tile", "part", "n", F.explode("places").alias("place"))
+        .groupBy("place", "tile", "part")
         .agg(F.min("n").alias("least"), F.max("n").alias("most")),
         "tile-shingles",
     )
-    # Sets of a and b shingles, a >= b, reach the threshold only if their prefixes share at least
-    # t / (1 + t) * (b - t * a) shingles, whichever prefix ends first.
+    # Sets of a and b shingles, a >= b, reach the threshold only if b >= t * a and their prefixes share at
+    # least t / (1 + t) * (b - t * a) shingles, whichever prefix ends first.
     need = threshold / (1 + threshold) * (F.col("least") - threshold * F.col("most"))
-    apart = (
+    sizes = f"a.most >= {threshold!r} * b.least - 1e-6 AND b.most >= {threshold!r} * a.least - 1e-6"
+    apart = stage(
         met.alias("a")
         .join(met.alias("b"), "place")
-        .filter("a.tile < b.tile AND abs(a.size_class - b.size_class) <= 1")
-        .groupBy(F.col("a.tile").alias("first"), F.col("b.tile").alias("second"))
+        .filter(f"a.tile < b.tile AND {sizes}")
+        .groupBy(
+            F.col("a.tile").alias("first"),
+            F.col("a.part").alias("first_part"),
+            F.col("b.tile").alias("second"),
+            F.col("b.part").alias("second_part"),
+        )
         .agg(
             F.count("*").alias("common"),
             F.min(F.least("a.least", "b.least")).alias("least"),
             F.max(F.greatest("a.most", "b.most")).alias("most"),
         )
         .filter(F.col("common") >= need - 1e-6)
-        .select("first", "second")
+        .select("first", "first_part", "second", "second_part"),
+        "tile-parts",
     )
     inside = of.groupBy("tile").count().filter("count > 1").select(F.col("tile").alias("first"), F.col("tile").alias("second"))
-    pairs = stage(apart.unionByName(inside).withColumn("pair", F.monotonically_increasing_id()), "tile-pairs")
-    return of.select("tile", "node"), pairs
+    pairs = stage(
+        apart.select("first", "second").distinct().unionByName(inside).withColumn("pair", F.monotonically_increasing_id()),
+        "tile-pairs",
+    )
+    sides = [
+        F.struct(F.lit(side).alias("side"), F.col(tile).alias("tile"), F.col(f"{tile}_part").alias("part"))
+        for side, tile in enumerate(("first", "second"))
+    ]
+    across = (
+        pairs.join(apart, ["first", "second"]).select("pair", F.explode(F.array(*sides)).alias("x")).select("pair", "x.*")
+    ).distinct()
+    own = (
+        pairs.filter("first = second")
+        .withColumnRenamed("first", "tile")
+        .join(of.select("tile", "part").distinct(), "tile")
+        .select("pair", F.lit(0).alias("side"), "tile", "part")
+    )
+    return of.select("tile", "part", "node"), across.unionByName(own)
 
 
 def grouped(batches: Iterator[pd.DataFrame], key: str) -> Iterator[pd.DataFrame]:
@@ -413,23 +447,26 @@ def classes(
     )
     frequent = docs.sparkSession.sparkContext.broadcast(frequent_shingles(plain))
     sketched = stage(
-        plain.mapInPandas(
+        plain.select(F.monotonically_increasing_id().alias("node"), "*").mapInPandas(
             sketch(frequent, threshold),
-            f"doc_id long, row_no {number_type}, md5 binary, digest binary, n int, prefix array<long>, odd binary",
+            f"node long, doc_id long, row_no {number_type}, md5 binary, digest binary, n int, prefix array<long>, "
+            "often array<long>, odd binary",
         ),
         "sketches",
     )
+    wordy = sketched.filter("digest IS NOT NULL")
+    # Names and digests move; prefixes and bits, which are much more, are read where they lie.
     nodes = stage(
-        sketched.filter("digest IS NOT NULL")
-        .groupBy("digest")
+        wordy.groupBy("digest")
         .agg(
-            F.min(F.struct("md5", "doc_id", "n", "prefix", "odd")).alias("one"),
+            F.min(F.struct("md5", "doc_id", "node")).alias("one"),
             F.min("doc_id").alias("least_id"),
             F.count("*").alias("copies"),
         )
-        .select(F.monotonically_increasing_id().alias("node"), "digest", "one.*", "least_id", "copies"),
+        .select("digest", "one.*", "least_id", "copies"),
         "sets",
     )
+    repeated = stage(wordy.select("node").join(nodes.select("node"), "node", "left_anti"), "repeated")
 
     def texts(wanted: DataFrame) -> DataFrame:
         """(node, text) of some nodes."""
@@ -442,10 +479,8 @@ def classes(
             .dropDuplicates(["node"])
         )
 
-    of, pairs = tiles(nodes, threshold)
-    sides = F.when(F.col("first") == F.col("second"), F.array("first")).otherwise(F.array("first", "second"))
-    profiles = of.join(nodes.select("node", "n", "odd"), "node")
-    members = pairs.select("pair", F.posexplode(sides).alias("side", "tile")).join(profiles, "tile")
+    of, parts = tiles(without(wordy.select("node", "n", "prefix", "often"), repeated, "node"), threshold)
+    members = parts.join(of.join(sketched.select("node", "n", "odd"), "node"), ["tile", "part"])
     alike = stage(
         members.select("pair", "side", "node", "n", "odd")
         .repartition("pair")

@@ -394,6 +394,33 @@ def test_pairs_at_the_threshold_among_texts_with_a_shared_passage(spark):
     assert got == {i: (i - i % 2, 1) for i in range(800)}
 
 
+def test_texts_that_share_a_phrase_by_chance_are_hardly_compared(spark, monkeypatch):
+    rng, phrases, rows = random.Random(8), [prose(400 + k, 6) for k in range(150)], []
+    for k in range(1200):
+        parts = [prose(30_000 + k, rng.randint(40, 160)), *rng.sample(phrases, 5)]
+        rows.append((k, " ".join(parts)))
+    rows += [(5000 + k, rows[k][1] + f" more{k}") for k in range(0, 1200, 40)]
+    compared, bounds = spark.sparkContext.accumulator(0), jaccard_join.alike_parities
+
+    def counting(threshold):
+        run = bounds(threshold)
+
+        def count(batches):
+            for batch in batches:
+                compared.add(len(batch))
+                yield batch
+
+        return lambda batches: run(count(batches))
+
+    monkeypatch.setattr(jaccard_join, "alike_parities", counting)
+    monkeypatch.setattr(jaccard_join, "FREQUENT_FROM", 10_000)  # as if the sample held each phrase once
+    got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in jaccard_join.classes(docs(spark, rows)).collect()}
+    pairs = {k for k in got if k >= 5000}
+    want = {i: (i % 5000, int(i >= 5000 or i + 5000 in pairs)) for i in got}
+    assert got == want and len(pairs) == 30
+    assert compared.value < 10_000
+
+
 def test_packing_holds_every_token_once(spark):
     rng = random.Random(2)
     rows = [(i, prose(i, rng.randint(0, 900)) + " It's 12% <|endoftext|>, naïve x") for i in range(60)]
