@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -538,6 +539,78 @@ def test_language_model_beats_the_base_on_held_out_texts(spark):
         assert abs(r["base_score"] - want) < 1e-9 * abs(want) and r["n_known"] == sum(w in counts for w in ws)
 
 
+def test_words_beyond_the_head_are_predicted_from_context(spark):
+    rng, rows = random.Random(6), []
+    for i in range(1500):  # 2,000 words, most of them beyond the classes' 480; each follows from the one before
+        at, ws = rng.randrange(2000), []
+        for _ in range(60):
+            ws.append(f"w{at}")
+            at = (at * 7 + 3) % 2000 if rng.random() < 0.95 else rng.randrange(2000)
+        rows.append((i, " ".join(ws)))
+    held = [r for r in maxent_lm.score(docs(spark, rows)).collect() if r["held_out"]]
+    assert sum(r["score"] for r in held) > 0.75 * sum(r["base_score"] for r in held)
+
+
+def some_model(seed):
+    rng = np.random.default_rng(seed)
+    weights = np.zeros(maxent_lm.SLOTS)
+    weights[:3000] = np.sort(rng.integers(1, 10_000, 3000))[::-1] + 0.1
+    weights[maxent_lm.RANKED :] = 0.1 + rng.integers(0, 3, maxent_lm.SHARED)
+    model = maxent_lm.Model(weights, 1e6)
+    model.weights[:] = rng.normal(0, 0.5, len(model.weights))
+    return model, weights, rng
+
+
+def test_probabilities_of_all_slots_add_up_to_one():
+    model, weights, _ = some_model(1)
+    slots = np.flatnonzero(weights)
+    ids = np.stack([np.full(len(slots), 5), np.full(len(slots), 50_000), slots], axis=1).ravel()
+    logs = model.log10(ids, np.arange(0, len(ids), 3))[2::3]
+    share = np.where(slots >= maxent_lm.RANKED, weights[slots], 1)  # of all words of a shared slot
+    assert abs((10**logs * share).sum() - 1) < 1e-5
+
+
+def test_gradient_against_differences():
+    model, weights, rng = some_model(2)
+    ids = rng.choice(np.flatnonzero(weights), 400)
+    first = np.arange(0, 400, 50)
+    g, h = np.zeros_like(model.weights), np.zeros_like(model.weights)
+    model.gradient(ids, first, 0, g, h)
+    way = rng.normal(0, 1, len(g)).astype(np.float32) * (g != 0)
+    start = model.weights.copy()
+
+    def total(step):
+        model.weights[:] = start + step * way
+        return model.log10(ids, first).sum() * np.log(10)
+
+    want = (total(1e-2) - total(-1e-2)) / 2e-2
+    assert abs(want - g @ way) < 2e-3 * np.linalg.norm(g) * np.linalg.norm(way) and (h >= 0).all()
+
+
+def test_long_texts_are_scored_in_pieces_of_bounded_size(monkeypatch):
+    model, weights, rng = some_model(3)
+    texts = [rng.choice(np.flatnonzero(weights), n).astype("<u2") for n in (1, 700, 3, 0, 20, 101)]
+    batch = pd.DataFrame({"n": [len(x) for x in texts if len(x)], "ids": [x.tobytes() for x in texts if len(x)]})
+
+    def scored():
+        scores, sizes = np.zeros(len(batch)), []
+        for ids, first, lead, numbers in maxent_lm.chunks(batch):
+            scores[numbers] += np.add.reduceat(model.log10(ids, first, lead), first)
+            sizes.append(len(ids))
+        return scores, max(sizes)
+
+    whole, _ = scored()
+    monkeypatch.setattr(maxent_lm, "BATCH_TOKENS", 50)
+    pieces, most = scored()
+    assert most <= 52 and np.allclose(whole, pieces)
+
+
+def test_tables_grow_with_the_square_root_of_the_tokens():
+    assert [maxent_lm.times(n) for n in (0, 1000, 1 << 25, 1 << 27, 1 << 33, 1 << 60)] == [1, 1, 1, 2, 16, 32]
+    rows = np.random.default_rng(4).integers(0, 1 << 19, 5000).astype(np.uint32)
+    assert (maxent_lm.by_row(rows) == np.argsort(rows, kind="stable")).all()
+
+
 def test_pipeline_stages(spark, tmp_path):
     rows = [(i, prose(i % 40, 120) + (f" tail{i}" if i % 3 else ""), f"s{i % 3}") for i in range(120)] + [(500, "short")]
     d = docs(spark, rows).select("doc_id", "text", "lang", "source", "n_chars")
