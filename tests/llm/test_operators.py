@@ -422,6 +422,20 @@ def test_texts_that_share_a_phrase_by_chance_are_hardly_compared(spark, monkeypa
     assert compared.value < 10_000
 
 
+def test_prefixes_and_bits_of_texts_are_written_once(spark, monkeypatch):
+    written, stage = {}, jaccard_join.stage
+
+    def noting(df, name, *partition_by):
+        written.setdefault(name, set()).update(df.columns)
+        return stage(df, name, *partition_by)
+
+    monkeypatch.setattr(jaccard_join, "stage", noting)
+    rows = [(i, prose(i % 30, 120) + (f" tail{i}" if i % 3 else "")) for i in range(90)]
+    kept = corpus_pipeline.near_duplicates(spark, docs(spark, rows), "")
+    assert sorted(r["doc_id"] for r in kept.collect()) == list(range(30))
+    assert [name for name, columns in written.items() if columns & {"prefix", "odd"}] == ["sketches"]
+
+
 def test_packing_holds_every_token_once(spark):
     rng = random.Random(2)
     rows = [(i, prose(i, rng.randint(0, 900)) + " It's 12% <|endoftext|>, naïve x") for i in range(60)]
